@@ -6,13 +6,13 @@ range), so a word is a short string, a pair is two characters, a merge is
 
 One round of the loop, all of it exact:
 
-1. count the pairs of all words and take the most frequent ``width`` of them;
-   ``floor`` is the count of the next one;
+1. count the pairs of all words and take the first ``width`` in merge order (count,
+   then ids); the next one is the bound;
 2. cut every word wherever a pair outside that set stands, and count the distinct
-   pieces that are left. A pair whose count is over ``floor`` can only lie, or come
-   to lie, inside a piece: a merge makes pairs no more frequent than the ones they
-   are made of;
-3. while the best count is over ``floor``, pick merges on the pieces;
+   pieces that are left. A pair that comes before the bound can only lie, or come to
+   lie, inside a piece: a merge makes pairs that are no more frequent than the ones
+   they are made of and have higher ids;
+3. pick merges on the pieces while the best pair comes before the bound;
 4. rewrite the words with the picked merges and drop those that are one token.
 
 Steps 1, 2 and 4 run on the whole word table in Spark. Only the pairs of step 1
@@ -230,23 +230,26 @@ def _pick_merges(
     if not top or top[0][1] < max(min_frequency, 1):
         return [], width
     while True:
-        floor = top[width][1] if len(top) > width else 0
-        pairs = [pair for pair, n in top[:width] if n > floor]
-        if len(pairs) < 2:
-            pair = top[0][0]
+        pairs = [pair for pair, _ in top[:width]]
+        if len(pairs) == 1:
+            pair = pairs[0]
             merged, _ = tokens.add(tokens.token[pair[0]] + tokens.token[pair[1]])
             return [(pair, merged)], width
         pieces = _pieces(words, pairs)
         if pieces is not None:
-            least = max(min_frequency, floor + 1)
-            return _replay(pieces, tokens, vocab_size, least), width
+            bound = top[width] if len(top) > width else None
+            return _replay(pieces, tokens, vocab_size, min_frequency, bound), width
         width = len(pairs) // 2
 
 
 def _replay(
-    pieces: list[tuple[str, int]], tokens: _Tokens, vocab_size: int, least: int
+    pieces: list[tuple[str, int]],
+    tokens: _Tokens,
+    vocab_size: int,
+    min_frequency: int,
+    bound: tuple[str, int] | None,
 ) -> list[tuple[str, str]]:
-    """Merge the most frequent pair of the pieces while its count is ``least`` or more."""
+    """Merge the best pair of the pieces while it comes before ``bound``."""
     texts = [text for text, _ in pieces]
     totals: Counter[str] = Counter()
     holders: defaultdict[str, set[int]] = defaultdict(set)
@@ -261,7 +264,7 @@ def _replay(
         n, pair = heapq.heappop(queue)
         if -n != totals[pair]:
             continue
-        if -n < least:
+        if -n < max(min_frequency, 1) or (bound and (n, pair) >= (-bound[1], bound[0])):
             break
         name = tokens.token[pair[0]] + tokens.token[pair[1]]
         if name in tokens.character and picked:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,32 +23,43 @@ MAX_SHARED_VOCABULARY = 1_000_000
 MAX_REMEMBERED_WORDS = 500_000
 
 
-def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, merges: DataFrame) -> DataFrame:
+def encode(
+    df: DataFrame, key: str, text: str | Sequence[str], vocab: DataFrame, merges: DataFrame
+) -> DataFrame:
     """``(key, ids)`` of every text; no row leaves its partition.
 
     Spark splits the texts into words; each task then encodes every distinct word
     it meets once and looks up the rest, on Arrow batches. The corpus is not
     shuffled, so neither a frequent word nor a long text makes a hot key. Bytes
-    that the vocabulary lacks are dropped.
+    that the vocabulary lacks are dropped. Given several text columns, the result
+    has an id list under each of their names.
     """
+    texts = [text] if isinstance(text, str) else list(text)
+    names = ["key", "ids"] if isinstance(text, str) else ["key", *texts]
     ids, ranks, specials = _collect_vocabulary(vocab, merges)
     shared = df.sparkSession.sparkContext.broadcast((ids, ranks, frozenset(specials)))
     words = df.select(
         F.col(key).alias("key"),
-        split_words_and_specials(required(F.col(text), text), specials).alias("words"),
+        *[
+            split_words_and_specials(required(F.col(t), t), specials).alias(name)
+            for t, name in zip(texts, names[1:])
+        ],
     )
+    list_type = T.ArrayType(T.IntegerType(), False)
     schema = T.StructType(
-        [words.schema["key"], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)]
+        [words.schema["key"], *[T.StructField(name, list_type, False) for name in names[1:]]]
     )
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, ranks, specials = shared.value
         known: dict[str, list[int]] = {}
         for batch in batches:
-            if len(known) > MAX_REMEMBERED_WORDS:
-                known.clear()
-            encoded = _encode_lists(batch.column(1), known, ids, ranks, specials)
-            yield pa.RecordBatch.from_arrays([batch.column(0), encoded], ["key", "ids"])
+            columns = [batch.column(0)]
+            for words in batch.columns[1:]:
+                if len(known) > MAX_REMEMBERED_WORDS:
+                    known.clear()
+                columns.append(_encode_lists(words, known, ids, ranks, specials))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return words.mapInArrow(encode_batches, schema)
 
