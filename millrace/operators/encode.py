@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,12 @@ from millrace.functions.text import (
     required,
     split_words_and_specials,
 )
+from millrace.session import cut_lineage
 
 # Up to this many tokens a vocabulary travels to the tasks whole.
 MAX_SHARED_VOCABULARY = 1_000_000
+# Up to this many tokens one is written into the plan.
+MAX_INLINE_VOCABULARY = 131_072
 MAX_REMEMBERED_WORDS = 500_000
 
 
@@ -67,19 +70,52 @@ def encode(
 def decode(
     df: DataFrame, ids: str, vocab: DataFrame, skip_special: bool = True, output: str = "text"
 ) -> DataFrame:
-    """``df`` with the text of its id lists; ids outside the vocabulary read as nothing."""
-    rows = _collect_bounded(vocab.select("id", "token", "special"), "vocabulary")
-    spelled: list[str | None] = [None] * (1 + max((row.id for row in rows), default=-1))
+    """``df`` with the text of its id lists; ids outside the vocabulary read as nothing.
+
+    A vocabulary of the usual size is looked up in place. A bigger one is joined, to
+    ids that are put together again by a row number of their own.
+    """
+    table = vocab.select("id", "token", "special")
+    if skip_special:
+        table = table.filter(~F.col("special"))
+    rows = table.limit(MAX_INLINE_VOCABULARY + 1).collect()
+    if len(rows) > MAX_INLINE_VOCABULARY or any(row.id >= MAX_INLINE_VOCABULARY for row in rows):
+        return _decode_by_join(df, ids, table, output)
+    spelled: list[str | None] = [None] * (1 + max((row.id for row in rows), default=0))
     for row in rows:
-        if not (skip_special and row.special):
-            spelled[row.id] = _bytes_of(row.token)
-    table = F.array(*[F.lit(s) for s in spelled])
+        spelled[row.id] = _bytes_of(row.token)
+    lookup = F.array(*[F.lit(s) for s in spelled])
     pieces = F.transform(
-        F.col(ids), lambda i: F.when(i >= 0, F.try_element_at(table, (i + 1).cast("int")))
+        F.col(ids), lambda i: F.when(i >= 0, F.try_element_at(lookup, i + 1))
     )
     return df.withColumn(output, latin1_as_utf8(F.array_join(pieces, "")))
 
 
+def _decode_by_join(df: DataFrame, ids: str, table: DataFrame, output: str) -> DataFrame:
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    used = rows.select("_row", F.posexplode(ids).alias("_pos", "id"))
+    texts = (
+        used.join(table, "id")
+        .groupBy("_row")
+        .agg(F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_tokens"))
+        .select("_row", F.transform("_tokens", lambda t: _symbols_to_bytes(t["token"])).alias("_pieces"))
+    )
+    pieces = F.coalesce(F.array_join("_pieces", ""), F.lit(""))
+    return (
+        rows.join(texts, "_row", "left")
+        .withColumn(output, latin1_as_utf8(pieces))
+        .drop("_row", "_pieces")
+    )
+
+
+def _symbols_to_bytes(token: Column) -> Column:
+    """A token as one latin-1 character per byte; ``translate`` cannot make the byte 0."""
+    moved = [byte for byte in range(1, 256) if BYTE_SYMBOLS[byte] != chr(byte)]
+    symbols = "".join(BYTE_SYMBOLS[byte] for byte in moved)
+    bytes_text = F.translate(token, symbols, "".join(chr(byte) for byte in moved))
+    return F.replace(bytes_text, F.lit(BYTE_SYMBOLS[0]), F.lit(chr(0)))
+
+
 def check_ids(tokens: DataFrame, ids: str, vocab: DataFrame) -> DataFrame:
     """``(token_id, n)`` for ids that the vocabulary lacks.
 
