@@ -20,6 +20,7 @@ from millrace.operators.candidates import (
 from millrace.operators.conversations import preference_pairs
 from millrace.operators.preference import preference_metrics
 from millrace.plans.training_rows import next_tokens
+from millrace.session import cut_lineage
 
 BYTES = 256
 
@@ -62,7 +63,7 @@ def model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.benchmark(spark, sf_dir).select("item_id", t.byte_ids(F.col("text")).alias("ids"))
-    scored = score_sequences(rows, "item_id", model(spark, sf_dir), BYTES)
+    scored = score_sequences(rows, "item_id", cut_lineage(model(spark, sf_dir)), BYTES)
     return scored.select(
         "item_id", "n_pairs", F.round("log_prob", 6).alias("log_prob"), F.round("perplexity", 6).alias("perplexity")
     )
@@ -77,7 +78,7 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     logged = None
     for name, source in texts.items():
-        counted = bigram_model(source.select(t.byte_ids(F.col("text")).alias("ids")))
+        counted = cut_lineage(bigram_model(source.select(t.byte_ids(F.col("text")).alias("ids"))))
         for side in ("chosen", "rejected"):
             ids = pairs.select("conv_id", t.byte_ids(F.col(side)).alias("ids"))
             scored = score_sequences(ids, "conv_id", counted, BYTES)

@@ -11,7 +11,7 @@ from millrace.functions.text import utf8_as_latin1
 from millrace.operators.batches import epoch_order
 from millrace.operators.bigrams import bigram_model
 from millrace.operators.conversations import nest_turns
-from millrace.session import spread
+from millrace.session import cut_lineage, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
@@ -46,9 +46,10 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = answered.filter(F.array_contains("roles", "assistant")).select(
         "conv_id", F.slice("conversations", F.lit(1), last).alias("chosen")
     )
+    chosen = cut_lineage(chosen)
     places = epoch_order(chosen, "conv_id", 1, 7).select(F.col("key").alias("conv_id"), "pos")
     placed = chosen.join(places, "conv_id")
-    n_rows = places.agg(F.count(F.lit(1)).alias("n_rows")).first()["n_rows"]
+    n_rows = chosen.count()
     answers = placed.select(
         ((F.col("pos") + n_rows - 1) % n_rows).alias("pos"),
         F.element_at("chosen", -1)["content"].alias("answer"),
@@ -56,10 +57,9 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = F.struct(
         F.element_at("chosen", -1)["role"].alias("role"), F.col("answer").alias("content")
     )
-    return placed.join(answers, "pos").select(
-        "conv_id",
-        "chosen",
-        F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array(other)).alias("rejected"),
+    rejected = F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array(other))
+    return cut_lineage(
+        placed.join(answers, "pos").select("conv_id", "chosen", rejected.alias("rejected"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,12 +22,11 @@ def bigram_pairs(df: DataFrame, ids: str, *keep: str) -> DataFrame:
 def bigram_model(df: DataFrame, ids: str = "ids") -> DataFrame:
     """``(prev, next, n, prev_n)``; at most the vocabulary squared rows.
 
-    Pairs are counted before they are shuffled, and the totals of ``prev`` come from
-    the counted pairs.
+    Pairs are counted before they are shuffled. The totals come from the counted
+    pairs, of which one ``prev`` has no more than the vocabulary has tokens.
     """
-    pairs = bigram_pairs(df, ids)
-    totals = pairs.groupBy("prev").agg(F.sum("n").alias("prev_n"))
-    return pairs.join(totals, "prev").select("prev", "next", "n", "prev_n")
+    same = Window.partitionBy("prev")
+    return bigram_pairs(df, ids).withColumn("prev_n", F.sum("n").over(same))
 
 
 def score_sequences(
@@ -36,7 +35,8 @@ def score_sequences(
     """``(key, n_pairs, log_prob, perplexity)`` with ``alpha`` added to every count.
 
     Pairs are counted per sequence first, so each joins once however often it
-    repeats; pairs shared by many sequences are left to the skew join of Spark.
+    repeats; pairs shared by many sequences are left to the skew join of Spark. The
+    model is read twice, so hand in a written one if it is costly to count.
     """
     pairs = bigram_pairs(df, ids, key).withColumnRenamed("n", "_times")
     seen = model.select("prev", "next", "n")

@@ -46,7 +46,7 @@ MAX_VOCABULARY = 0x110000 - 0x800 - FIRST_CHARACTER
 
 # Bounds on what one round may bring to the driver.
 MAX_PIECES = 30_000
-MAX_PIECE_LENGTH = 200
+MAX_PIECE_LENGTH = 2_000
 ROUNDS_PER_CHECKPOINT = 4
 
 
@@ -68,7 +68,7 @@ def train_bpe(
     vocab_size: int = 6400,
     min_frequency: int = 2,
     specials: Sequence[str] = SPECIAL_TOKENS,
-    width: int = 1024,
+    width: int = 2048,
 ) -> Vocabulary:
     """Learn a vocabulary from ``(word, n)``.
 
@@ -93,21 +93,22 @@ def train_bpe(
     )
     words = words.filter(F.length("symbols") > 1).persist(StorageLevel.MEMORY_AND_DISK)
     merges: list[tuple[str, str]] = []
-    rounds, reach = 0, min(width, 64)
+    rounds, reach, previous = 0, min(width, 64), None
     while len(tokens) < vocab_size:
-        picked, reach = _pick_merges(words, tokens, vocab_size, min_frequency, reach)
+        picked, used, n_pieces = _pick_merges(words, tokens, vocab_size, min_frequency, reach)
+        if previous is not None:
+            previous.unpersist()
         if not picked:
             break
-        reach = min(2 * reach, width)
         merges += [(tokens.token[pair[0]], tokens.token[pair[1]]) for pair, _ in picked]
         rounds += 1
+        reach = min((4 if 8 * n_pieces < MAX_PIECES else 2) * used, width)
         previous = words
         words = _rewrite(words, picked).filter(F.length("symbols") > 1)
         if rounds % ROUNDS_PER_CHECKPOINT == 0:
             words = cut_lineage(words)
         words = words.persist(StorageLevel.MEMORY_AND_DISK)
-        if len(tokens) < vocab_size:
-            words.count()
+    if previous is not None:
         previous.unpersist()
     words.unpersist()
     spark = counts.sparkSession
@@ -224,21 +225,22 @@ def _pieces(words: DataFrame, pairs: list[str]) -> list[tuple[str, int]] | None:
 
 def _pick_merges(
     words: DataFrame, tokens: _Tokens, vocab_size: int, min_frequency: int, width: int
-) -> tuple[list[tuple[str, str]], int]:
-    """The next merges as ``(pair, character of the merged token)``, and the width that gave them."""
+) -> tuple[list[tuple[str, str]], int, int]:
+    """The next merges as ``(pair, character of the merged token)``, the width used and its pieces."""
     top = _top_pairs(words, width + 1)
     if not top or top[0][1] < max(min_frequency, 1):
-        return [], width
+        return [], width, 0
     while True:
         pairs = [pair for pair, _ in top[:width]]
         if len(pairs) == 1:
             pair = pairs[0]
             merged, _ = tokens.add(tokens.token[pair[0]] + tokens.token[pair[1]])
-            return [(pair, merged)], width
+            return [(pair, merged)], width, 1
         pieces = _pieces(words, pairs)
         if pieces is not None:
             bound = top[width] if len(top) > width else None
-            return _replay(pieces, tokens, vocab_size, min_frequency, bound), width
+            picked = _replay(pieces, tokens, vocab_size, min_frequency, bound)
+            return picked, width, len(pieces)
         width = len(pairs) // 2
 
 

@@ -11,8 +11,9 @@ from pyspark.sql.types import StructType
 from millrace.session import cut_lineage, spread
 
 LIMIT_POLICIES = ("strict", "clamp", "clamp_zero_all")
-# Above this many rows a limit looks for the last key instead of sorting whole rows.
-MAX_TOP_ROWS = 100_000
+# Up to this many rows Spark cuts every task's rows down before a ranked window.
+MAX_TOP_ROWS = 1_000
+TASKS_PER_GROUP = 1_000
 
 
 def read_jsonl(
@@ -34,7 +35,8 @@ def limit_examples(
     """The first ``n`` rows by ``order_by``, whose values must tell rows apart.
 
     ``strict`` fails if there are fewer rows, ``clamp`` takes what is there, and
-    ``clamp_zero_all`` does too but reads 0 as no limit. None is never a limit.
+    ``clamp_zero_all`` does too but reads 0 as no limit. None is never a limit. A
+    large limit sorts the keys alone, by ranges, and cuts the table at the last one.
     """
     if policy not in LIMIT_POLICIES:
         raise ValueError(f"policy must be one of {LIMIT_POLICIES}")
@@ -46,7 +48,7 @@ def limit_examples(
     if policy == "strict" and keys.limit(n).count() < n:
         raise ValueError(f"fewer than {n} examples")
     if n <= MAX_TOP_ROWS:
-        return df.orderBy(*order_by).limit(n)
+        return _first_rows(df, n, order_by)
     last = positions(keys, order_by).filter(F.col("pos") == n - 1).collect()
     if not last:
         return df
@@ -54,6 +56,23 @@ def limit_examples(
     return df.filter(F.struct(*order_by) <= bound)
 
 
+def _first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first rows of every task, of every group of tasks, and of all groups.
+
+    Without the groups, one task would sort the first rows of all the others.
+    """
+    group = F.floor(F.spark_partition_id() / TASKS_PER_GROUP)
+    order = Window.partitionBy("_group").orderBy(*order_by)
+    return (
+        df.withColumn("_group", group)
+        .withColumn("_place", F.row_number().over(order))
+        .filter(F.col("_place") <= n)
+        .drop("_group", "_place")
+        .orderBy(*order_by)
+        .limit(n)
+    )
+
+
 def positions(df: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:
     """``df`` with every row's 0-based place in the order.
 
