@@ -48,6 +48,7 @@ MAX_VOCABULARY = 0x110000 - 0x800 - FIRST_CHARACTER
 MAX_PIECES = 30_000
 MAX_PIECE_LENGTH = 2_000
 ROUNDS_PER_CHECKPOINT = 4
+WORDS_PER_TASK = 250_000
 
 
 class Vocabulary(NamedTuple):
@@ -79,11 +80,12 @@ def train_bpe(
     """
     if vocab_size > MAX_VOCABULARY:
         raise ValueError(f"vocab_size must not exceed {MAX_VOCABULARY}")
+    counts = cut_lineage(counts.select("word", "n"))
     cores = counts.sparkSession.sparkContext.defaultParallelism
-    counts = cut_lineage(counts.select("word", "n").repartition(max(cores, _partitions(counts))))
+    partitions = max(cores, counts.count() // WORDS_PER_TASK)
     letters = sorted(row.symbol for row in alphabet(counts).collect())
     tokens = _Tokens([*specials, *letters])
-    words = counts.select(
+    words = counts.repartition(partitions).select(
         F.translate(
             byte_symbols(F.col("word")),
             "".join(letters),
@@ -176,10 +178,6 @@ class _Tokens:
         return character, True
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _pairs(symbols: Column) -> Column:
     characters = F.split(symbols, "")
     return F.zip_with(

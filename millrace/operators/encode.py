@@ -17,10 +17,11 @@ from millrace.functions.text import (
     required,
     split_words_and_specials,
 )
+from millrace.operators.bpe import MAX_VOCABULARY
 from millrace.session import cut_lineage
 
-# Up to this many tokens a vocabulary travels to the tasks whole.
-MAX_SHARED_VOCABULARY = 1_000_000
+# A vocabulary travels to the tasks whole; training can make none with more tokens.
+MAX_SHARED_VOCABULARY = MAX_VOCABULARY
 # Up to this many tokens one is written into the plan.
 MAX_INLINE_VOCABULARY = 131_072
 MAX_REMEMBERED_WORDS = 500_000
@@ -81,10 +82,11 @@ def decode(
     rows = table.limit(MAX_INLINE_VOCABULARY + 1).collect()
     if len(rows) > MAX_INLINE_VOCABULARY or any(row.id >= MAX_INLINE_VOCABULARY for row in rows):
         return _decode_by_join(df, ids, table, output)
-    spelled: list[str | None] = [None] * (1 + max((row.id for row in rows), default=0))
+    spelled = [""] * (1 + max((row.id for row in rows), default=0))
     for row in rows:
         spelled[row.id] = _bytes_of(row.token)
-    lookup = F.array(*[F.lit(s) for s in spelled])
+    # Spelled tokens are latin-1, so this character can part them; Spark folds the split.
+    lookup = F.split(F.lit("\u0100".join(spelled)), "\u0100")
     pieces = F.transform(
         F.col(ids), lambda i: F.when(i >= 0, F.try_element_at(lookup, i + 1))
     )

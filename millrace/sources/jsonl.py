@@ -45,15 +45,21 @@ def limit_examples(
     if n <= 0:
         return df.limit(0)
     keys = df.select(*order_by)
-    if policy == "strict" and keys.limit(n).count() < n:
-        raise ValueError(f"fewer than {n} examples")
+    if policy == "strict":
+        found = len(keys.head(n)) if n <= MAX_TOP_ROWS else keys.count()
+        if found < n:
+            raise ValueError(f"fewer than {n} examples")
     if n <= MAX_TOP_ROWS:
         return _first_rows(df, n, order_by)
     last = positions(keys, order_by).filter(F.col("pos") == n - 1).collect()
     if not last:
         return df
-    bound = F.struct(*[F.lit(last[0][c]).alias(c) for c in order_by])
-    return df.filter(F.struct(*order_by) <= bound)
+    *leading, final = order_by
+    within = F.col(final) <= F.lit(last[0][final])
+    for column in reversed(leading):
+        value = F.lit(last[0][column])
+        within = (F.col(column) < value) | ((F.col(column) == value) & within)
+    return df.filter(within)
 
 
 def _first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
