@@ -28,7 +28,9 @@ from millrace.operators.conversations import preference_pairs, select_text
 from millrace.operators.preference import preference_tokens
 from millrace.plans.training_rows import (
     adapter_rows,
+    batched_rows,
     fine_tuning_rows,
+    preference_batches,
     preference_rows,
     pretrain_rows,
 )
@@ -90,6 +92,17 @@ def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "micro", t.joined("ids"), t.joined("attention_mask"))
 
 
+def batched_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference rows of bytes, laid out over two epochs and four ranks."""
+    pairs = preference_pairs(t.preferences(spark, sf_dir), "conv_id", ChatTemplate())
+    sides = ["prompt", "chosen", "rejected"]
+    ids = pairs.select("conv_id", *[t.byte_ids(F.col(side)).alias(side) for side in sides])
+    batched = batched_rows(preference_tokens(ids, "conv_id"), "conv_id", 2, 13, 2, 16, 4)
+    rows = preference_batches(batched, PAD)
+    lists = [f"{side}_{kind}" for side in ("chosen", "rejected") for kind in ("ids", "labels", "mask")]
+    return rows.select("conv_id", "epoch", "pos", "rank", "micro", "step", *[t.joined(c) for c in lists])
+
+
 def shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epoch_order(t.table(spark, sf_dir, "orders", ["o_orderkey"]), "o_orderkey", 3, 42)
 
@@ -157,12 +170,14 @@ def _every(kind: str, n: int) -> str:
     return f"SELECT '{kind}' AS kind, unnest(range({n}, total + 1, {n})) AS step FROM {_STEPS}"
 
 
-def _limited(prompt: str, chosen: str, rejected: str, source: str) -> str:
+def _limited_lists(prompt: str, chosen: str, rejected: str, source: str) -> str:
+    """Preference token lists: the tail of the prompt, then the head of either side."""
+
     def side(name: str, column: str) -> str:
         head = f"list_slice({column}, 1, 512 - len(p))"
         return (
-            f"{q.numbers(f'list_concat(p, {head})')} AS {name}_ids, "
-            f"{q.numbers(f'list_concat(list_transform(p, lambda x: -100), {head})')} AS {name}_labels"
+            f"list_concat(p, {head}) AS {name}_ids, "
+            f"list_concat(list_transform(p, lambda x: -100), {head}) AS {name}_labels"
         )
 
     kept = f"CASE WHEN len({prompt}) > 256 THEN list_slice({prompt}, len({prompt}) - 255, len({prompt})) ELSE {prompt} END"
@@ -172,6 +187,28 @@ def _limited(prompt: str, chosen: str, rejected: str, source: str) -> str:
     )
 
 
+def _limited(prompt: str, chosen: str, rejected: str, source: str) -> str:
+    columns = ["chosen_ids", "chosen_labels", "rejected_ids", "rejected_labels"]
+    texts = ", ".join(f"{q.numbers(c)} AS {c}" for c in columns)
+    return f"SELECT conv_id, {texts} FROM ({_limited_lists(prompt, chosen, rejected, source)})"
+
+
+def _filled(side: str) -> str:
+    """Lists of one side padded to the longest of their batch."""
+    short = f"{side}_longest - len({side}_ids)"
+
+    def fill(column: str, value: int) -> str:
+        return q.numbers(f"list_concat({column}, list_transform(range({short}), lambda i: {value}))")
+
+    mask = (
+        f"list_concat(list_transform({side}_ids, lambda x: 1), list_transform(range({short}), lambda i: 0))"
+    )
+    return (
+        f"{fill(f'{side}_ids', PAD)} AS {side}_ids, {fill(f'{side}_labels', -100)} AS {side}_labels, "
+        f"{q.numbers(mask)} AS {side}_mask"
+    )
+
+
 _PREFERENCE_TEXTS = (
     f"c AS MATERIALIZED ({q.rendered(q.CHAT, 'chosen')}), "
     f"r AS MATERIALIZED ({q.rendered(q.CHAT, 'rejected')})"
@@ -227,6 +264,18 @@ QUERIES = {
         f"{q.numbers('list_concat(list_transform(ids, lambda x: 1), list_transform(range(short), lambda i: 0))')} "
         "AS attention_mask FROM longest",
     ),
+    "dpo_batches": (
+        batched_preferences,
+        f"WITH {q.PREFERENCES}, {_PREFERENCE_TEXTS}, "
+        f"sides AS (SELECT conv_id, {q.byte_list('c.text')} AS chosen, {q.byte_list('r.text')} AS rejected "
+        "FROM c JOIN r USING (conv_id)), "
+        f"lists AS ({_limited_lists('chosen', 'chosen', 'rejected', 'sides')}), "
+        f"laid_out AS ({q.batch_rows(q.epoch_rows('lists', 'conv_id', 2, 13), 2, 16, 4)}), "
+        "batched AS (SELECT *, max(len(chosen_ids)) OVER w AS chosen_longest, "
+        "max(len(rejected_ids)) OVER w AS rejected_longest FROM lists JOIN laid_out ON key = conv_id "
+        "WINDOW w AS (PARTITION BY epoch, rank, micro)) "
+        f"SELECT conv_id, epoch, pos, rank, micro, step, {_filled('chosen')}, {_filled('rejected')} FROM batched",
+    ),
     "g6_stop_at": (
         stopped,
         f"WITH {_BYTES} SELECT doc_id, {q.numbers('list_slice(ids, 1, least(100, coalesce(nullif(list_position(ids, 10), 0), 100)))')} "

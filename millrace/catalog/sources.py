@@ -105,20 +105,32 @@ def foreign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_ids(t.document_bytes(spark, sf_dir), "ids", vocab)
 
 
-def special_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _special_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers stand in for tokenizers that lack this or that special token."""
     customers = t.table(
         spark, sf_dir, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey"]
     )
-    named = customers.select(
+    return customers.select(
         F.when(F.col("c_nationkey") > 5, F.col("c_mktsegment")).alias("bos"),
         F.when(F.col("c_acctbal") > 2000, F.col("c_mktsegment")).alias("eos"),
         F.when(F.col("c_nationkey") < 12, F.col("c_name")).alias("pad"),
         F.col("c_name").alias("unk"),
     )
-    return resolve_specials(named)
 
 
+def special_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_specials(_special_tokens(spark, sf_dir))
+
+
+def pad_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_specials(_special_tokens(spark, sf_dir), pad_only=True)
+
+
+_SPECIAL_TOKENS = (
+    "named AS (SELECT CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS bos, "
+    "CASE WHEN c_acctbal > 2000 THEN c_mktsegment END AS eos, "
+    "CASE WHEN c_nationkey < 12 THEN c_name END AS pad, c_name AS unk FROM customer)"
+)
 _ORDERS = "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders"
 
 QUERIES = {
@@ -152,11 +164,12 @@ QUERIES = {
     ),
     "e5_resolve_specials": (
         special_fallbacks,
-        "WITH named AS (SELECT CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS bos, "
-        "CASE WHEN c_acctbal > 2000 THEN c_mktsegment END AS eos, "
-        "CASE WHEN c_nationkey < 12 THEN c_name END AS pad, c_name AS unk FROM customer) "
+        f"WITH {_SPECIAL_TOKENS} "
         "SELECT coalesce(bos, '<s>') AS bos, "
         "CASE WHEN pad IS NULL AND eos IS NULL THEN '</s>' ELSE eos END AS eos, "
         "coalesce(pad, eos, '</s>') AS pad, unk FROM named",
     ),
+    "e5_resolve_specials_pad_only": (
+        pad_fallback, f"WITH {_SPECIAL_TOKENS} SELECT bos, eos, coalesce(pad, eos) AS pad, unk FROM named",
+    ),
 }

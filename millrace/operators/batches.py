@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,15 +90,23 @@ def run_points(plan: DataFrame, logging_steps: int, save_steps: int | None = Non
 
 
 def pad_to_batch_max(df: DataFrame, batch_cols: Sequence[str], ids: str, pad_id: int) -> DataFrame:
-    """``df`` with every list padded to the longest of its batch, and its mask.
+    """``df`` with every list padded to the longest of its batch, and its mask."""
+    return pad_lists_to_batch_max(df, batch_cols, {ids: pad_id}, {ids: "attention_mask"})
 
-    Lengths are combined before they are shuffled, and the join back has one row
-    per batch on its other side, so Spark can split a batch with very many rows.
+
+def pad_lists_to_batch_max(
+    df: DataFrame, batch_cols: Sequence[str], fills: Mapping[str, int], masks: Mapping[str, str]
+) -> DataFrame:
+    """Pad the lists named in ``fills`` with its values, each to its own longest of the batch.
+
+    ``masks`` names the mask column of a list. Lengths are combined before they are
+    shuffled, and the join back has one row per batch on its other side, so Spark can
+    split a batch with very many rows.
     """
-    longest = df.groupBy(*batch_cols).agg(F.max(F.size(ids)).alias("_longest"))
-    return (
-        df.join(longest, list(batch_cols))
-        .withColumn("attention_mask", attention_mask(F.col(ids), F.col("_longest")))
-        .withColumn(ids, pad(F.col(ids), F.col("_longest"), pad_id))
-        .drop("_longest")
-    )
+    lengths = [F.max(F.size(c)).alias(f"_longest_{c}") for c in fills]
+    padded = df.join(df.groupBy(*batch_cols).agg(*lengths), list(batch_cols))
+    for ids, mask in masks.items():
+        padded = padded.withColumn(mask, attention_mask(F.col(ids), F.col(f"_longest_{ids}")))
+    for ids, value in fills.items():
+        padded = padded.withColumn(ids, pad(F.col(ids), F.col(f"_longest_{ids}"), value))
+    return padded.drop(*[f"_longest_{c}" for c in fills])

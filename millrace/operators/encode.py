@@ -131,12 +131,15 @@ def check_ids(tokens: DataFrame, ids: str, vocab: DataFrame) -> DataFrame:
     return used.join(vocab.select(F.col("id").alias("token_id")), "token_id", "left_anti")
 
 
-def resolve_specials(specials: DataFrame) -> DataFrame:
+def resolve_specials(specials: DataFrame, pad_only: bool = False) -> DataFrame:
     """Fill in missing special tokens of ``(bos, eos, pad, unk)``.
 
     Padding falls back to the end token; without either, both become ``</s>``. The
-    start token falls back to ``<s>``.
+    start token falls back to ``<s>``. With ``pad_only``, as for generation, padding
+    takes the end token if there is one, and nothing else changes.
     """
+    if pad_only:
+        return specials.select("bos", "eos", F.coalesce("pad", "eos").alias("pad"), "unk")
     end = F.lit("</s>")
     return specials.select(
         F.coalesce("bos", F.lit("<s>")).alias("bos"),

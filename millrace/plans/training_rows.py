@@ -12,7 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.render import ChatTemplate, render_human_assistant, render_role_prefix
-from millrace.functions.sequences import attention_mask, causal_labels, pad, truncate
+from millrace.functions.sequences import (
+    IGNORED_LABEL,
+    attention_mask,
+    causal_labels,
+    pad,
+    truncate,
+)
+from millrace.operators.batches import assign_batches, epoch_order, pad_lists_to_batch_max
 from millrace.operators.bpe import Vocabulary, train_bpe
 from millrace.operators.candidates import (
     ban_repeat_bigrams,
@@ -100,6 +107,23 @@ def preference_rows(
     return preference_tokens(encoded, key, max_prompt_length, max_length)
 
 
+def batched_rows(
+    rows: DataFrame, key: str, epochs: int, seed: int, batch: int, accum: int = 1, world: int = 1
+) -> DataFrame:
+    """``rows`` once per epoch, with their place in it: ``epoch, pos, rank, micro, step``."""
+    placed = assign_batches(epoch_order(rows, key, epochs, seed), batch, accum, world)
+    return placed.withColumnRenamed("key", key).join(rows, key)
+
+
+def preference_batches(batched: DataFrame, pad_id: int) -> DataFrame:
+    """Preference rows of a batch padded to its longest, each side by itself."""
+    sides = ("chosen", "rejected")
+    fills = {f"{side}_ids": pad_id for side in sides}
+    fills |= {f"{side}_labels": IGNORED_LABEL for side in sides}
+    masks = {f"{side}_ids": f"{side}_mask" for side in sides}
+    return pad_lists_to_batch_max(batched, ["epoch", "rank", "micro"], fills, masks)
+
+
 def next_tokens(
     scores: DataFrame,
     contexts: DataFrame,

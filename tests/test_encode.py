@@ -85,3 +85,6 @@ def test_special_fallbacks(spark):
     assert [tuple(r) for r in resolve_specials(table).collect()] == [
         ("b", "e", "p", "u"), ("<s>", "e", "e", "u"), ("<s>", "</s>", "</s>", None), ("b", None, "p", None),
     ]
+    assert [tuple(r) for r in resolve_specials(table, pad_only=True).collect()] == [
+        ("b", "e", "p", "u"), (None, "e", "e", "u"), (None, None, None, None), ("b", None, "p", None),
+    ]

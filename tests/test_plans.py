@@ -11,7 +11,9 @@ from millrace.operators.batches import epoch_order
 from millrace.operators.encode import encode
 from millrace.plans.training_rows import (
     adapter_rows,
+    batched_rows,
     fine_tuning_rows,
+    preference_batches,
     preference_rows,
     pretrain_rows,
     train_tokenizer,
@@ -80,6 +82,27 @@ def test_preference_rows(spark, learned, library, mode):
         assert row[f"{side}_labels"] == [-100] * len(prompt) + ids
 
 
+def test_batches_of_preferences(spark):
+    lists = "ARRAY<INT>"
+    rows = [(i, list(range(i % 4)), [-100] * (i % 4), [1] * (3 - i % 4), [2] * (3 - i % 4)) for i in range(21)]
+    table = spark.createDataFrame(
+        rows, f"id BIGINT, chosen_ids {lists}, chosen_labels {lists}, rejected_ids {lists}, rejected_labels {lists}"
+    )
+    batched = batched_rows(table, "id", epochs=2, seed=3, batch=2, accum=2, world=2)
+    got = preference_batches(batched, PAD).collect()
+    assert sorted((r.epoch, r.id) for r in got) == [(e, i) for e in range(2) for i in range(21)]
+    source = {r[0]: r[1:] for r in rows}
+    for r in got:
+        mates = [source[o.id] for o in got if (o.epoch, o.rank, o.micro) == (r.epoch, r.rank, r.micro)]
+        assert 1 <= len(mates) <= 2
+        longest = max(len(m[0]) for m in mates)
+        own = source[r.id][0]
+        assert r.chosen_ids == own + [PAD] * (longest - len(own))
+        assert r.chosen_labels == [-100] * longest
+        assert r.chosen_mask == [1] * len(own) + [0] * (longest - len(own))
+        assert len(r.rejected_ids) == len(r.rejected_labels) == max(len(m[2]) for m in mates)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

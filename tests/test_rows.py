@@ -95,3 +95,11 @@ def test_user_map_sees_small_batches_and_drops_inputs(spark):
     rows = out.collect()
     assert out.columns == ["id", "n"] and len(rows) == 25
     assert sorted(r.n for r in rows) == [5] * 5 + [10] * 20
+
+
+def test_a_batch_with_a_third_of_all_rows(spark):
+    table = spark.range(3000).selectExpr(
+        "id", "if(id % 3 = 0, 0, id) AS b", "sequence(0, cast(id % 5 AS INT)) AS ids"
+    )
+    sizes = {r.id: len(r.ids) for r in pad_to_batch_max(table, ["b"], "ids", 9).collect()}
+    assert sizes == {i: 5 if i % 3 == 0 else i % 5 + 1 for i in range(3000)}
