@@ -198,15 +198,12 @@ def _top_pairs(words: DataFrame, n: int) -> list[tuple[str, int]]:
 
 def _pieces(words: DataFrame, pairs: list[str]) -> list[tuple[str, int]] | None:
     """Distinct pieces held together by ``pairs``, or None if over the bounds."""
-    characters = F.split("symbols", "")
-    following = F.slice(characters, F.lit(2), F.size(characters))
-    cut = F.array_join(
-        F.zip_with(
-            characters,
-            following,
-            lambda a, b: F.when(F.concat(a, b).isin(pairs), a).otherwise(F.concat(a, F.lit(" "))),
-        ),
-        "",
+    # As SQL text, since a list of that many literal columns takes longer to build than
+    # to use. Token characters are no quotes.
+    known = ", ".join(f"'{pair}'" for pair in pairs)
+    cut = F.expr(
+        "array_join(zip_with(split(symbols, ''), slice(split(symbols, ''), 2, length(symbols)), "
+        f"(a, b) -> if(concat(a, b) IN ({known}), a, concat(a, ' '))), '')"
     )
     pieces = (
         words.select(F.explode(F.split(cut, " ")).alias("piece"), "n")

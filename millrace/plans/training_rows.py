@@ -110,7 +110,11 @@ def preference_rows(
 def batched_rows(
     rows: DataFrame, key: str, epochs: int, seed: int, batch: int, accum: int = 1, world: int = 1
 ) -> DataFrame:
-    """``rows`` once per epoch, with their place in it: ``epoch, pos, rank, micro, step``."""
+    """``rows`` once per epoch, with their place in it: ``epoch, pos, rank, micro, step``.
+
+    The rows are read once more for their keys, so write encoded rows first, as with
+    ``materialize_stage``.
+    """
     placed = assign_batches(epoch_order(rows, key, epochs, seed), batch, accum, world)
     return placed.withColumnRenamed("key", key).join(rows, key)
 
