@@ -70,7 +70,11 @@ def held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Byte pairs of the conversations as policy, those of the benchmark as reference."""
+    """Byte pairs of the conversations as policy, those of the benchmark as reference.
+
+    Every answer stands once on either side, so margins cancel out: adding 0.0 makes
+    a mean of either sign of zero the same zero.
+    """
     pairs = preference_pairs(t.preferences(spark, sf_dir), "conv_id", ChatTemplate())
     texts = {
         "policy": t.table(spark, sf_dir, "conversations", ["text"]),
@@ -84,8 +88,11 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             scored = score_sequences(ids, "conv_id", counted, BYTES)
             column = scored.select("conv_id", F.col("log_prob").alias(f"{name}_{side}"))
             logged = column if logged is None else logged.join(column, "conv_id")
-    return _rounded(preference_metrics(logged), "loss", "margin", "accuracy").select(
-        "n_pairs", F.round("loss", 6).alias("loss"), F.round("margin", 6).alias("margin"), "accuracy"
+    return preference_metrics(logged).select(
+        "n_pairs",
+        F.round("loss", 6).alias("loss"),
+        (F.round("margin", 6) + 0.0).alias("margin"),
+        F.round("accuracy", 9).alias("accuracy"),
     )
 
 
@@ -132,7 +139,7 @@ QUERIES = {
         f"{q.scored('rc', 'SELECT * FROM c', 'conv_id', 'reference', 1.0, BYTES)}, "
         f"{q.scored('rr', 'SELECT * FROM r', 'conv_id', 'reference', 1.0, BYTES)}, "
         f"d AS (SELECT {_DELTA} AS m FROM pc JOIN pr USING (conv_id) JOIN rc USING (conv_id) JOIN rr USING (conv_id)) "
-        "SELECT count(*) AS n_pairs, round(avg(ln(1 + exp(-m))), 6) AS loss, round(avg(m), 6) AS margin, "
+        "SELECT count(*) AS n_pairs, round(avg(ln(1 + exp(-m))), 6) AS loss, round(avg(m), 6) + 0.0::DOUBLE AS margin, "
         "round(avg(CASE WHEN m > 0 THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM d",
     ),
 }
