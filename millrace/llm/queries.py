@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import table
+from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.quality import quality_rules
 
 
@@ -16,8 +17,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op7_near_duplicates": op7_near_duplicates,
 }
 
 #: Where SQL says the same.
