@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import table
 from millrace.llm.near_duplicates import near_duplicates
+from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
 
 
@@ -17,12 +18,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_personal_data": op4_personal_data,
     "op7_near_duplicates": op7_near_duplicates,
 }
 
