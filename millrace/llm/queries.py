@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import table
 from millrace.llm.near_duplicates import near_duplicates
+from millrace.llm.packing import packed
 from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
 
@@ -22,6 +24,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +35,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_personal_data": op4_personal_data,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_near_duplicates": op7_near_duplicates,
 }
 
