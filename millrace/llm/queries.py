@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.common import table
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import packed
 from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
+from millrace.llm.substrings import without_repeats
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +34,17 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_personal_data": op4_personal_data,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_near_duplicates": op7_near_duplicates,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: Where SQL says the same.
