@@ -14,6 +14,7 @@ from millrace.llm.packing import packed
 from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
 from millrace.llm.substrings import without_repeats
+from millrace.llm.url_lists import host_of, path_of, temporal_list_join
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,24 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures, fetched when the event of their number happened.
+
+    The list is made of events as well: an error adds, a sign-up removes, and the page
+    numbered like the user gives the pattern: its host, its domain, or its first folder.
+    """
+    pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    times = events.select(F.col("event_id").alias("page_id"), at.alias("fetched_us"))
+    captures = pages.select("page_id", "url").join(times, "page_id", "left")
+    host, kind = host_of(F.col("url")), F.col("event_id") % 3
+    folder = F.element_at(F.split(path_of(F.col("url")), "/"), 2)
+    pattern = F.when(kind == 0, F.concat(F.lit("host="), host)).when(kind == 1, F.concat(F.lit("domain="), F.regexp_replace(host, r"^[^.]+\.", ""))).otherwise(F.concat(F.lit("prefix="), host, F.lit("/"), folder))
+    named = events.filter("event_type in ('error', 'signup')").join(pages.select(F.col("page_id").alias("user_id"), "url"), "user_id")
+    entries = named.select(pattern.alias("pattern"), at.alias("at"), F.when(F.col("event_type") == "error", "add").otherwise("remove").alias("action"))
+    return temporal_list_join(captures, entries, at="fetched_us")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,9 +62,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_personal_data": op4_personal_data,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_url_filters": op6_url_filters,
     "op7_near_duplicates": op7_near_duplicates,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: Where SQL says the same.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_url_filters": r"""
+WITH captures AS (
+    SELECT page_id, url, epoch_us(ts) AS fetched_us FROM pages LEFT JOIN events ON page_id = event_id
+), named AS (
+    SELECT event_id % 3 AS kind, event_type, epoch_us(ts) AS dated,
+        regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1) AS host,
+        split_part(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/', 2) AS folder
+    FROM events JOIN pages ON page_id = user_id WHERE event_type IN ('error', 'signup')
+), entries AS (
+    SELECT DISTINCT CASE kind WHEN 0 THEN 'host=' || host
+            WHEN 1 THEN 'domain=' || regexp_replace(host, '^[^.]+\.', '') ELSE 'prefix=' || host || '/' || folder END AS pattern,
+        dated, CASE event_type WHEN 'error' THEN 'add' ELSE 'remove' END AS action
+    FROM named
+), ordered AS (
+    SELECT *, lead(dated) OVER (PARTITION BY pattern ORDER BY dated, action) AS until FROM entries
+), intervals AS (
+    SELECT * FROM ordered WHERE action = 'add' AND (until IS NULL OR until > dated)
+), parts AS (
+    SELECT DISTINCT url, fetched_us, regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1) AS host,
+        list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS steps
+    FROM captures WHERE url IS NOT NULL AND fetched_us IS NOT NULL
+), looked AS (
+    SELECT url, fetched_us, 'host=' || host AS pattern FROM parts WHERE host <> ''
+    UNION ALL
+    SELECT url, fetched_us, 'domain=' || array_to_string(labels[k:], '.') FROM (
+        SELECT *, unnest(range(1, len(labels))) AS k FROM (SELECT *, string_split(host, '.') AS labels FROM parts WHERE host <> ''))
+    UNION ALL
+    SELECT url, fetched_us, 'prefix=' || host || '/' || array_to_string(steps[:k], '/') FROM (
+        SELECT *, unnest(range(1, len(steps) + 1)) AS k FROM parts WHERE host <> '')
+), found AS (
+    SELECT url, fetched_us, count(*) AS n, string_agg(pattern, ',' ORDER BY pattern) AS patterns FROM (
+        SELECT DISTINCT url, fetched_us, pattern FROM looked JOIN intervals USING (pattern)
+        WHERE dated <= fetched_us AND (until IS NULL OR fetched_us < until)) GROUP BY ALL
+)
+SELECT page_id, c.url, c.fetched_us, coalesce(n, 0) AS n_active, coalesce(patterns, '') AS patterns, coalesce(n, 0) > 0 AS blocked
+FROM captures c LEFT JOIN found f ON c.url = f.url AND c.fetched_us = f.fetched_us
+""",
+}
