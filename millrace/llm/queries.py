@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import table
 from millrace.llm.near_duplicates import near_duplicates
+from millrace.llm.nearest import nearest
 from millrace.llm.packing import packed
 from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
@@ -17,6 +18,10 @@ from millrace.llm.substrings import without_repeats
 from millrace.llm.url_lists import host_of, path_of, temporal_list_join
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "log_ppl", "low", "high"
@@ -59,6 +64,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_quality_rules": op3_quality_rules,
     "op4_personal_data": op4_personal_data,
     "op5_best_fit_packing": op5_best_fit_packing,
