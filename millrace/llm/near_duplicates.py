@@ -8,9 +8,9 @@ minimum hashes; plain banding would need ``2 * half`` for each table, ``m * m *
 
 Equal sets are grouped first and only one of them, the class representative with
 the smallest doc_id, goes on. In a bucket each member is compared with its first
-member only. Where that leaves members of a bucket in different components, an
-exact prefix-filtered set join over those documents finds the links between them
-that the first comparison could not see; no bucket is cut or expanded into pairs.
+member only. Where that leaves members of a bucket in different components, those
+documents are compared across components, block by block inside tasks, for links
+the first comparison could not see; no bucket is cut or expanded into rows of pairs.
 
 Nulls and edges: a text without words, or a null one, has an empty set and is
 linked with nothing. Rows without doc_id can't be named as a component: their
@@ -35,6 +35,9 @@ from millrace.llm.graph import components
 
 #: The chance that a pair just at the threshold agrees in no half key of one side.
 MISS = 2e-5
+#: Documents of a half key that a task compares with as many others, and shingles at once.
+BLOCK = 512
+COLUMNS = 4096
 
 
 @dataclass(frozen=True)
@@ -141,23 +144,57 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame
     return pairs.join(a, "a").join(b, "b").filter(banding.alike(common, F.size("a_set"), F.size("b_set"))).select("a", "b")
 
 
-def _unseen_pairs(collisions: DataFrame, parts: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
+def _compare(percent: int):
+    """Pairs of a group's documents, across parts, whose sets are about as alike as asked.
+
+    The group is one block of a half key's documents or two; of two only pairs across
+    them count. Common shingles are counted by products of 0/1 matrices.
+    """
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, parts, n, block = (group.column(c).to_numpy() for c in ("id", "part", "n", "block"))
+        lists = group.column("tokens").combine_chunks()
+        tokens = lists.flatten().to_numpy()
+        of = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+        _, token, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        shared = times[token] > 1
+        of, token = of[shared], token[shared]
+        order = np.argsort(token, kind="stable")
+        of, token = of[order], np.unique(token[order], return_inverse=True)[1]
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        common = np.zeros((len(left), len(right)), np.float32)
+        for first in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+            some = slice(*np.searchsorted(token, [first, first + COLUMNS]))
+            ones = np.zeros((len(ids), COLUMNS), np.float32)
+            ones[of[some], token[some] - first] = 1
+            common += ones[left] @ ones[right].T
+        union = n[left][:, None] + n[right][None, :] - common
+        near = (100 * common >= percent * union) & (parts[left][:, None] != parts[right][None, :])
+        a, b = (ids[side[at]] for side, at in zip((left, right), np.nonzero(near), strict=True))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return compare
+
+
+def _unseen_pairs(signed: DataFrame, collisions: DataFrame, parts: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
     """Pairs across components, of documents in buckets that the first links left apart.
 
-    Two sets as alike as asked share a shingle among the rarest of each, so a join on
-    those alone loses no link.
+    Those documents meet by the half keys of one side, of which a pair as alike as asked
+    misses all with probability MISS. The documents of a half key are dealt into blocks,
+    and tasks compare block with block; only pairs near the threshold leave a task.
     """
     held = collisions.filter("n > 2").select("key", "id").join(parts, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("part"))
     apart = held.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("key")
     documents = held.join(apart, "key", "left_semi").select("id", "part").distinct()
-    rows = sets.join(documents, "id").select("id", "part", F.size("set").alias("n"), F.explode("set").alias("h"))
-    frequency = rows.groupBy("h").agg(F.count("*").alias("f"))
-    rare = Window.partitionBy("id").orderBy("f", "h")
-    prefix = F.col("n") - F.ceil(F.col("n") * banding.percent / 100) + 1
-    kept = written(rows.join(frequency.filter("f > 1"), "h", "left").withColumn("f", F.coalesce("f", F.lit(1))).withColumn("rank", F.row_number().over(rare)).filter((F.col("rank") <= prefix) & (F.col("f") > 1)).select("id", "part", "n", "h"))
-    a, b = (kept.select("h", *(F.col(c).alias(f"{k}_{c}") for c in ("id", "part", "n"))) for k in "ab")
-    close = 100 * F.least("a_n", "b_n") >= banding.percent * F.greatest("a_n", "b_n")
-    return a.join(b, "h").filter((F.col("a_id") < F.col("b_id")) & (F.col("a_part") != F.col("b_part")) & close).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    halves = signed.select(F.col("doc_id").alias("id"), "first")
+    keyed = written(documents.join(halves, "id").select("id", "part", F.posexplode("first").alias("side", "half")).distinct())
+    hosts = keyed.groupBy("side", "half").agg(F.count("*").alias("m"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    dealt = keyed.join(hosts, ["side", "half"]).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    grouped = dealt.select("side", "half", "id", "part", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    tokens = sets.select("id", F.size("set").alias("n"), F.transform("set", lambda x: (x % (1 << 31)).cast("int")).alias("tokens"))
+    return grouped.join(tokens, "id").groupBy("side", "half", "lo", "hi").applyInArrow(_compare(banding.percent - 1), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
@@ -174,7 +211,7 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     pairs = collisions.filter("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = written(_confirmed(pairs, sets, banding).union(equal).distinct())
     parts = components(links)
-    unseen = written(_confirmed(_unseen_pairs(collisions, parts, sets, banding), sets, banding))
+    unseen = written(_confirmed(_unseen_pairs(signed, collisions, parts, sets, banding), sets, banding))
     if not unseen.isEmpty():
         parts = components(links.union(unseen))
     found = signed.select("doc_id", "n_shingles").join(parts, F.col("doc_id") == F.col("node"), "left")
