@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
+from millrace.llm.html_content import extracted, train
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.nearest import nearest
 from millrace.llm.packing import packed
@@ -18,6 +19,10 @@ from millrace.llm.substrings import without_repeats
 from millrace.llm.url_lists import host_of, path_of, temporal_list_join
 
 
+def op1_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"), train(spark))
+
+
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -64,6 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_content": op1_html_content,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_quality_rules": op3_quality_rules,
     "op4_personal_data": op4_personal_data,
