@@ -2,11 +2,12 @@
 
 A window's anchor is the shortest-hashed run of ANCHOR words inside it, so equal
 windows have equal anchors wherever they stand. Neighbouring windows with one anchor
-form a segment. Anchors that occur once can't belong to a repeated window and go no
-further; the segments of the others are dealt by anchor into shards.
+form a segment. Of equal segments the first stands for all: in the others every
+window starts earlier, in the first. First segments whose anchor no other segment has
+can't hold a repeated window; the rest are dealt by anchor into shards.
 
-Each shard indexes its distinct segments in one compressed FM-index and streams them
-against it: backward search gives, for every window end, its matching statistic. A
+Each shard indexes its segments in one compressed FM-index and streams them against
+it: backward search gives, for every window end, its matching statistic. A
 statistic of a whole window marks windows with equal words, and of those all but the
 first occurrence are repeats. A shard is closed at about SHARD_WORDS words.
 
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,10 +52,10 @@ class _WordHashes(dict):
 # --- anchors --------------------------------------------------------------------
 
 
-def segments(words: list[bytes], hashes: dict, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first word and length of each segment of a document."""
+def segments(words: list[bytes], hashes: dict, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """Hash of the anchor, hash of all words, first word and length of each segment of a document."""
     if len(words) < window:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = len(w) - anchor + 1
     grams = np.zeros(n, np.uint64)
@@ -62,48 +64,78 @@ def segments(words: list[bytes], hashes: dict, window: int = WINDOW, anchor: int
     views = np.lib.stride_tricks.sliding_window_view(grams, window - anchor + 1)
     least = views.argmin(axis=1) + np.arange(len(views))
     starts = np.flatnonzero(np.diff(least, prepend=-1))
-    ends = np.append(starts[1:], len(least))
-    return grams[least[starts]].view(np.int64), starts, ends - starts + window - 1
+    lengths = np.diff(np.append(starts, len(least))) + window - 1
+    # A segment is hashed by its anchor, its length, and a sum over its words that knows their places.
+    places = np.concatenate([[0], np.cumsum(w * _powers(len(w)))]).astype(np.uint64)
+    whole = (places[starts + lengths] - places[starts]) * _powers(len(w) + 1)[len(w) - starts]
+    anchors = grams[least[starts]]
+    return anchors.view(np.int64), mixed(whole + mixed(anchors + lengths.astype(np.uint64))).view(np.int64), starts, lengths
 
 
-def _anchors(places: bool):
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
-        for batch in batches:
-            for part, texts in slices(batch, "text"):
-                if len(hashes) > REMEMBERED:
-                    hashes.clear()
-                found = [segments(text.split(), hashes) for text in texts]
-                anchor, start, length = (np.concatenate(c) for c in zip(*found, strict=True))
-                columns, names = [pa.array(anchor)], ["anchor"]
-                if places:
-                    times = [len(x[0]) for x in found]
-                    columns += [pa.array(np.repeat(part.column(c).to_numpy(), times)) for c in ("key", "version")]
-                    columns += [pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32))]
-                    names += ["key", "version", "start", "length"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+def _powers(n: int) -> np.ndarray:
+    """An odd number to the powers 0 .. n - 1, modulo 2 ** 64."""
+    global _POWERS
+    if len(_POWERS) < n:
+        factors = np.full(max(n, 4096), 0x9E3779B97F4A7C15, np.uint64)
+        factors[0] = 1
+        _POWERS = np.cumprod(factors)
+    return _POWERS[:n]
 
-    return anchors
 
+_POWERS = np.zeros(0, np.uint64)
 
-# --- shards ---------------------------------------------------------------------
 
-SEGMENTS = "anchor long, block int, blocks int, key long, version int, start int, words binary"
+PLACES = "anchor long, segment long, key long, version int, start int, length int, later boolean"
+
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments with their places.
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Of equal segments seen together only the first competes for being first of all;
+    the others are ``later`` already and get an anchor of their own, which spreads them.
+    """
+    hashes = _WordHashes()
     for batch in batches:
         for part, texts in slices(batch, "text"):
-            rows = []
-            for key, version, text, own in zip(part.column("key").to_pylist(), part.column("version").to_pylist(), texts, part.column("segments").to_pylist(), strict=True):
-                words = text.split()
-                for s in own:
-                    blocks = -(-s["n"] // BLOCK)
-                    block = xxhash.xxh3_64_intdigest(f"{key}:{s['start']}") % blocks
-                    rows.append((s["anchor"], block, blocks, key, version, s["start"], b" ".join(words[s["start"] : s["start"] + s["length"]])))
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["anchor", "block", "blocks", "key", "version", "start", "words"])
+            if len(hashes) > REMEMBERED:
+                hashes.clear()
+            found = [segments(text.split(), hashes) for text in texts]
+            anchor, segment, start, length = (np.concatenate(c) for c in zip(*found, strict=True))
+            times = [len(x[0]) for x in found]
+            key, version = (np.repeat(part.column(c).to_numpy(), times) for c in ("key", "version"))
+            order = np.lexsort((start, key, segment))
+            again = np.diff(segment[order], prepend=segment[order[:1]] + 1 if len(order) else []) == 0
+            same_place = (np.diff(key[order], prepend=0) == 0) & (np.diff(start[order], prepend=0) == 0)
+            later = np.zeros(len(order), bool)
+            later[order] = again & ~same_place
+            anchor = np.where(later, mixed(key * 1_000_003 + start).view(np.int64), anchor)
+            columns = [anchor, segment, key, version, start.astype(np.int32), length.astype(np.int32), later]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "segment", "key", "version", "start", "length", "later"])
+
+
+# --- shards ---------------------------------------------------------------------
+
+SEGMENTS = "anchor long, block int, blocks int, key long, version int, start int, words binary"
+
+
+def _cut(block_size: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                rows = []
+                for key, version, text, own in zip(part.column("key").to_pylist(), part.column("version").to_pylist(), texts, part.column("segments").to_pylist(), strict=True):
+                    words = text.split()
+                    for s in own:
+                        if s["later"]:
+                            continue
+                        blocks = -(-s["n"] // block_size)
+                        block = xxhash.xxh3_64_intdigest(f"{key}:{s['start']}") % blocks
+                        rows.append((s["anchor"], block, blocks, key, version, s["start"], b" ".join(words[s["start"] : s["start"] + s["length"]])))
+                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                columns = zip(*rows, strict=True) if rows else [[]] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["anchor", "block", "blocks", "key", "version", "start", "words"])
+
+    return cut
 
 
 REPEATS = "tie long, key long, version int, at int, until int, firm boolean"
@@ -167,6 +199,19 @@ def shard_repeats(shard: pa.Table) -> pa.Table:
     )
 
 
+def _firm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The repeats that a shard knows by itself."""
+    for found in _shards(batches):
+        yield found.filter(found.column("firm"))
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first windows of blocks, of anchors that have several."""
+    several = (batch.filter(pc.greater(batch.column("blocks"), 1)) for batch in batches)
+    for found in _shards(several):
+        yield found.filter(pc.invert(found.column("firm")))
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come ordered by anchor and block, which stay together."""
     held: list[pa.RecordBatch] = []
@@ -199,9 +244,12 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in slices(batch, "text"):
             totals, removed, kept = [], [], []
-            for text, repeats in zip(texts, part.column("repeats").to_pylist(), strict=True):
+            for text, own, repeats in zip(texts, part.column("segments").to_pylist(), part.column("repeats").to_pylist(), strict=True):
                 words = text.split()
                 gone = np.zeros(len(words), bool)
+                for x in own or ():
+                    if x["later"]:
+                        gone[x["start"] : x["start"] + x["length"]] = True
                 for x in repeats or ():
                     gone[x["at"] : x["until"]] = True
                 totals.append(len(words))
@@ -213,20 +261,29 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _repeats(base: DataFrame) -> DataFrame:
-    """``key, version, at, until``: word stretches to remove."""
-    read = base.select("key", "version", "text")
-    often = base.select("text").mapInArrow(_anchors(False), "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    places = read.mapInArrow(_anchors(True), "anchor long, key long, version int, start int, length int").join(often, "anchor")
-    listed = places.groupBy("key", "version").agg(F.collect_list(F.struct("anchor", "start", "length", "n")).alias("segments"))
-    cut = base.join(listed, ["key", "version"]).select("doc_id", "key", "version", "text", "segments").mapInArrow(_cut, SEGMENTS)
-    found = cut.repartition("anchor", "block").sortWithinPartitions("anchor", "block").mapInArrow(_shards, REPEATS)
-    lead = F.min(F.struct("key", "at")).over(Window.partitionBy("tie"))
-    return found.withColumn("lead", lead).filter("firm or struct(key, at) > lead").select("key", "version", "at", "until")
+def _segments(base: DataFrame) -> DataFrame:
+    """``key, version, segments``: of each document the segments that come later than an
+    equal one, and those to be looked up because another segment has the same anchor."""
+    equal, anchored = Window.partitionBy("anchor", "segment"), Window.partitionBy("anchor")
+    places = base.select("key", "version", "text").mapInArrow(_places, PLACES).repartition("anchor")
+    judged = places.withColumns(
+        {
+            "later": F.col("later") | (F.struct("key", "start") > F.min(F.struct("key", "start")).over(equal)),
+            "apart": F.min("segment").over(anchored) != F.max("segment").over(anchored),
+            "n": F.count("*").over(anchored),
+        }
+    )
+    return judged.filter("later or apart").groupBy("key", "version").agg(F.collect_list(F.struct("anchor", "start", "length", "n", "later")).alias("segments"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, block_size: int = BLOCK) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words left of each document, joined by one space."""
     base = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(FIRST_KEY)).alias("key"), F.hash("text").alias("version"))
-    repeats = _repeats(base).groupBy("key", "version").agg(F.collect_list(F.struct("at", "until")).alias("repeats"))
-    return base.join(repeats, ["key", "version"], "left").select("doc_id", "text", "repeats").mapInArrow(_clean, CLEANED)
+    held = _segments(base)
+    cut = base.join(held, ["key", "version"]).select("doc_id", "key", "version", "text", "segments").mapInArrow(_cut(block_size), SEGMENTS)
+    dealt = cut.repartition("anchor", "block").sortWithinPartitions("anchor", "block")
+    lead = F.min(F.struct("key", "at")).over(Window.partitionBy("tie"))
+    across = dealt.mapInArrow(_open, REPEATS).withColumn("lead", lead).filter("struct(key, at) > lead").drop("lead")
+    repeats = dealt.mapInArrow(_firm, REPEATS).union(across).groupBy("key", "version").agg(F.collect_list(F.struct("at", "until")).alias("repeats"))
+    both = base.join(held, ["key", "version"], "left").join(repeats, ["key", "version"], "left")
+    return both.select("doc_id", "text", "segments", "repeats").mapInArrow(_clean, CLEANED)
