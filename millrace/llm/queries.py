@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
+from millrace.llm.cotraining import quality_scores
 from millrace.llm.html_content import extracted, train
+from millrace.llm.mixing import mixed_rates
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.nearest import nearest
 from millrace.llm.packing import packed
@@ -63,6 +65,23 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: Domains of the labelled table, and the shares of tokens that training should see.
+DOMAIN = "case when toxic = 1 then 'toxic' when quality = 1 then 'clean' when quality = 0 then 'junk' end"
+TARGETS = {"clean": 0.95, "junk": 0.05, "toxic": 0.0}
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = mixed_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS)
+    shares = [F.col("posterior")[k].alias(f"p_{name}") for k, name in enumerate(TARGETS)]
+    return rates.select("doc_id", "n_tokens", *shares, "rate")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), good)
+    return scores.withColumn("kept", F.col("score") >= 0.5)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = without_repeats(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -76,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_url_filters": op6_url_filters,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_source_mixing": op8_source_mixing,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
