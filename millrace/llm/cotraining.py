@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import slices
 from millrace.llm.mixing import label_sample
-from millrace.llm.text_classifier import SHAPE, TAG_BUCKETS, WORD_BUCKETS, Design, Softmax, buckets_of, shape_of, tags_of
+from millrace.llm.text_classifier import SHAPE, TAG_BUCKETS, WORD_BUCKETS, Design, Softmax, buckets_of, features, shape_of, tags_of
 
 SAMPLE = 8_000
 POOL = 4_000
@@ -128,16 +129,16 @@ def _score(model):
 
 def co_trained(docs: DataFrame, labels: DataFrame, good: Column, sample: int = SAMPLE, pool: int = POOL) -> CoTrained:
     """The classifiers, fitted on documents with labels and without."""
-    rows = label_sample(docs.drop("label"), labels, good.cast("int"), sample)
-    columns = docs.select("doc_id", "text", *METADATA)
-    marked = {r["doc_id"]: r["label"] for r in rows}
-    chosen = docs.select("doc_id").filter("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool)
-    ids = chosen.union(docs.sparkSession.createDataFrame([(i,) for i in marked], "doc_id long")) if marked else chosen
-    held = columns.join(F.broadcast(ids.distinct()), "doc_id").dropDuplicates(["doc_id"]).collect()
-    held.sort(key=lambda r: r["doc_id"])
-    parts = [[r for r in held if r["doc_id"] in marked], [r for r in held if r["doc_id"] not in marked]]
-    labelled, others = (views([(r["text"] or "").encode() for r in part], [tuple(r[c] for c in METADATA) for r in part]) for part in parts)
-    return CoTrained(labelled, np.array([marked[r["doc_id"]] for r in parts[0]], np.int64), others)
+    known = label_sample(docs, labels, good.cast("int"), sample)
+    free = docs.select("doc_id").filter("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti").distinct()
+    others = free.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(None).cast("int"))
+    chosen = F.broadcast(known.unionByName(others))
+    held = docs.select("doc_id", "text", *METADATA).join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    table = features(held, METADATA).toArrow().sort_by("doc_id")
+    unlabelled = pc.is_null(table["label"])
+    parts = [table.filter(pc.invert(unlabelled)), table.filter(unlabelled)]
+    labelled, rest = ((Design.gathered(part["buckets"], None), Design.gathered(part["tags"], part["shape"])) for part in parts)
+    return CoTrained(labelled, parts[0]["label"].to_numpy().astype(np.int64), rest)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, good: Column) -> DataFrame:

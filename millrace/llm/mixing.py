@@ -23,11 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import slices, written
-from millrace.llm.text_classifier import SHAPE, WORD_BUCKETS, Design, Softmax, buckets_of, shape_of
+from millrace.llm.text_classifier import SHAPE, WORD_BUCKETS, Design, Softmax, buckets_of, features, shape_of
 
 #: The most labelled rows that the classifier is fitted on.
 SAMPLE = 6_000
@@ -43,24 +44,23 @@ def design_of(texts: list[bytes]) -> tuple[Design, np.ndarray]:
     return Design.of([buckets_of(w) for w in words], shapes, SHAPE), np.array([len(w) for w in words], np.int64)
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, label: Column, size: int) -> list:
-    """At most ``size`` rows (doc_id, label, text) of documents with a label that isn't null."""
+def label_sample(docs: DataFrame, labels: DataFrame, label: Column, size: int) -> DataFrame:
+    """At most ``size`` rows doc_id, label of documents with a label that isn't null."""
     marked = labels.select("doc_id", label.alias("label")).filter("doc_id is not null and label is not null").dropDuplicates(["doc_id"])
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
+    return marked.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
 
 
 class Domains:
-    """The posterior over named domains."""
+    """The posterior over named domains, from a table of labelled features."""
 
-    def __init__(self, names: list[str], rows: list) -> None:
+    def __init__(self, names: list[str], known: pa.Table) -> None:
         self.names = names
         self.model = None
-        known = [(r["text"], names.index(r["label"])) for r in sorted(rows, key=lambda r: r["doc_id"]) if r["label"] in names]
-        if len({y for _, y in known}) > 1:
-            design, _ = design_of([(text or "").encode() for text, _ in known])
-            self.model = Softmax(design, np.array([y for _, y in known]), len(names), WORD_BUCKETS)
-        self.only = known[0][1] if known else None
+        known = known.filter(pc.is_in(known["label"], pa.array(names))).sort_by("doc_id")
+        y = np.array([names.index(label) for label in known["label"].to_pylist()], np.int64)
+        if len(set(y.tolist())) > 1:
+            self.model = Softmax(Design.gathered(known["buckets"], known["shape"]), y, len(names), WORD_BUCKETS)
+        self.only = int(y[0]) if len(y) else None
 
     def posteriors(self, design: Design) -> np.ndarray:
         if self.model:
@@ -82,7 +82,9 @@ def _classify(domains):
 
 def posteriors(docs: DataFrame, labels: DataFrame, label: Column, names: list[str], sample: int = SAMPLE) -> DataFrame:
     """``doc_id, n_tokens, posterior`` of each document (columns doc_id, text)."""
-    domains = Domains(names, label_sample(docs, labels, label, sample))
+    chosen = F.broadcast(label_sample(docs, labels, label, sample))
+    known = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    domains = Domains(names, features(known).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(domains)
     return docs.select("doc_id", "text").mapInArrow(_classify(shared), "doc_id long, n_tokens long, posterior array<double>")
 

@@ -6,11 +6,15 @@ of counts about layout and characters; tags are the hashed values of other colum
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+
+from millrace.llm.common import slices
 
 WORD_BUCKETS = 1 << 16
 TAG_BUCKETS = 1 << 9
@@ -64,6 +68,23 @@ def tags_of(values: Iterable[object]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(f"{k}={v}") % TAG_BUCKETS for k, v in enumerate(values)]
 
 
+def features(rows: DataFrame, metadata: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, label, buckets, tags, shape`` of rows with columns doc_id, label, text and ``metadata``."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                values = zip(*(part.column(c).to_pylist() for c in metadata), strict=True) if metadata else [()] * len(texts)
+                words = [pa.array(buckets_of(text.lower().split()), pa.int32()) for text in texts]
+                shapes = [shape_of(text, text.split()) for text in texts]
+                columns = [pa.array(words, pa.list_(pa.int32())), pa.array(map(tags_of, values), pa.list_(pa.int32())), pa.array(shapes, pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), *columns], ["doc_id", "label", "buckets", "tags", "shape"])
+
+    label = rows.schema["label"].dataType.simpleString()
+    schema = f"doc_id long, label {label}, buckets array<int>, tags array<int>, shape array<double>"
+    return rows.select("doc_id", "label", "text", *metadata).mapInArrow(found, schema)
+
+
 @dataclass
 class Design:
     """Sparse features (row and column of each) and dense ones of a number of documents."""
@@ -77,6 +98,14 @@ class Design:
         columns = np.concatenate(sparse).astype(np.int64) if sparse else np.zeros(0, np.int64)
         return cls(np.repeat(np.arange(len(sparse)), [len(x) for x in sparse]), columns, np.array(dense, np.float64).reshape(len(sparse), width))
 
+    @classmethod
+    def gathered(cls, sparse: pa.ChunkedArray, dense: pa.ChunkedArray | None) -> Design:
+        """From columns of lists, as ``features`` returns them."""
+        lists = sparse.combine_chunks()
+        rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        shape = np.zeros((len(lists), 0)) if dense is None else dense.combine_chunks().flatten().to_numpy().reshape(len(lists), -1 if len(lists) else SHAPE)
+        return cls(rows, lists.flatten().to_numpy().astype(np.int64), shape)
+
     def __len__(self) -> int:
         return len(self.dense)
 
