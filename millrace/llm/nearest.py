@@ -54,11 +54,15 @@ class CollisionIndex:
         self.directions = _unit(PROJECTIONS, vectors.shape[1] + 1)
         projected = np.concatenate([vectors, rest[:, None]], axis=1) @ self.directions
         order = np.argsort(projected, axis=0, kind="stable")
-        self.rows = np.ascontiguousarray(order.T)
-        self.sorted = np.ascontiguousarray(np.take_along_axis(projected, order, axis=0).T)
+        self.rows = order.T.ravel()
+        ordered = np.take_along_axis(projected, order, axis=0).T
         # The first windows hold a fifth of the block, on average.
-        low, high = (self.sorted[:, int(share * (len(ids) - 1))] for share in (0.4, 0.6))
+        low, high = (ordered[:, int(share * (len(ids) - 1))] for share in (0.4, 0.6))
         self.first_radius = float(np.mean(high - low)) / 2 or 1e-9
+        # The arrays lie behind each other, shifted apart, so that one search finds all windows' ends.
+        self.lowest, self.highest = float(projected.min()), float(projected.max())
+        self.shifts = np.arange(PROJECTIONS) * (self.highest - self.lowest + 1.0)
+        self.sorted = (ordered + self.shifts[:, None]).ravel()
 
     def candidates(self, query: np.ndarray, least: int) -> np.ndarray:
         """Rows that collide with a query often enough, ``least`` of them or more where there are."""
@@ -66,15 +70,13 @@ class CollisionIndex:
         n, needed = len(self.ids), math.ceil(THRESHOLD * PROJECTIONS)
         least, radius = min(n, least), self.first_radius
         counts = np.zeros(n, np.int64)
-        windows = [(at, at) for at in (int(a.searchsorted(c)) for a, c in zip(self.sorted, centre, strict=True))]
+        low = high = self.sorted.searchsorted(np.clip(centre, self.lowest, self.highest) + self.shifts)
         while True:
-            entered = []
-            for k, (a, c) in enumerate(zip(self.sorted, centre, strict=True)):
-                low, high = windows[k]
-                wider = a.searchsorted(c - radius), a.searchsorted(c + radius, "right")
-                entered += self.rows[k, wider[0] : low], self.rows[k, high : wider[1]]
-                windows[k] = wider
-            counts += np.bincount(np.concatenate(entered), minlength=n)
+            lower = self.sorted.searchsorted(np.maximum(centre - radius, self.lowest).clip(max=self.highest) + self.shifts)
+            higher = self.sorted.searchsorted(np.minimum(centre + radius, self.highest).clip(min=self.lowest) + self.shifts, "right")
+            ends = zip(np.concatenate([lower, high]).tolist(), np.concatenate([low, higher]).tolist(), strict=True)
+            counts += np.bincount(np.concatenate([self.rows[i:j] for i, j in ends]), minlength=n)
+            low, high = lower, higher
             found = np.flatnonzero(counts >= needed)
             if len(found) >= least:
                 return found
@@ -84,7 +86,10 @@ class CollisionIndex:
         """Ids and inner products of the best found, in double precision, ties to smaller ids."""
         rows = self.candidates(query, k + 1 + math.ceil(VERIFIED * len(self.ids)))
         rows = rows[self.ids[rows] != query_id]
-        scores = np.einsum("ij,j->i", self.vectors[rows], query)
+        scores = np.einsum("ij,j->i", self.vectors.take(rows, axis=0), query)
+        if len(rows) > k:
+            fit = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+            rows, scores = rows[fit], scores[fit]
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows[best]], scores[best]
 
