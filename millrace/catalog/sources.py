@@ -64,8 +64,8 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.table(
         spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
     )
-    materialize_stage(lines, path)
-    return materialize_stage(lines, path)
+    materialize_stage(lines, path, sf_dir)
+    return materialize_stage(lines, path, sf_dir)
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ def epoch_order(df: DataFrame, key: str, epochs: int, seed: int) -> DataFrame:
     its own and shifted by the number of rows in the buckets before it. The largest
     group in any window is one bucket.
     """
+    if epochs < 1:
+        raise ValueError("epochs must be at least 1")
     rows = df.select(
         F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"), F.col(key).alias("key")
     ).withColumn("_hash", shuffle_hash(seed, F.col("epoch"), F.col("key")))
@@ -75,11 +77,9 @@ def run_points(plan: DataFrame, logging_steps: int, save_steps: int | None = Non
     """``(kind, step)`` at which to log and to save; without ``save_steps``, save after every epoch."""
 
     def every(kind: str, n: int) -> DataFrame:
-        total = plan.agg(F.max("last_step").alias("total")).filter(F.col("total") >= n)
-        return total.select(
-            F.lit(kind).alias("kind"),
-            F.explode(F.sequence(F.lit(n).cast("long"), "total", F.lit(n).cast("long"))).alias("step"),
-        )
+        total = plan.agg(F.max("last_step")).first()[0] or 0
+        points = plan.sparkSession.range(1, total // n + 1)
+        return points.select(F.lit(kind).alias("kind"), (F.col("id") * n).alias("step"))
 
     saves = (
         plan.select(F.lit("save").alias("kind"), F.col("last_step").alias("step"))

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bigram_pairs(df: DataFrame, ids: str, *keep: str) -> DataFrame:
-    """``(…, prev, next, n)``: neighbouring ids, counted per kept columns."""
+def bigram_pairs(df: DataFrame, ids: str, *keep: str, outer: bool = False) -> DataFrame:
+    """``(…, prev, next, n)``: neighbouring ids, counted per kept columns.
+
+    With ``outer``, a sequence without a pair has one row, of nulls.
+    """
     neighbours = F.arrays_zip(
         F.slice(ids, F.lit(1), F.greatest(F.size(ids) - 1, F.lit(0))).alias("prev"),
         F.slice(ids, F.lit(2), F.size(ids)).alias("next"),
     )
     return (
-        df.select(*keep, F.inline(neighbours).alias("prev", "next"))
+        df.select(*keep, (F.inline_outer if outer else F.inline)(neighbours).alias("prev", "next"))
         .groupBy(*keep, "prev", "next")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -36,9 +39,11 @@ def score_sequences(
 
     Pairs are counted per sequence first, so each joins once however often it
     repeats; pairs shared by many sequences are left to the skew join of Spark. The
-    model is read twice, so hand in a written one if it is costly to count.
+    model is read twice, so hand in a written one if it is costly to count. A sequence
+    of fewer than two ids has no pairs, the log-likelihood 0 and no perplexity.
     """
-    pairs = bigram_pairs(df, ids, key).withColumnRenamed("n", "_times")
+    times = F.when(F.col("prev").isNotNull(), F.col("n")).otherwise(0).cast("long")
+    pairs = bigram_pairs(df, ids, key, outer=True).withColumn("_times", times).drop("n")
     seen = model.select("prev", "next", "n")
     totals = model.groupBy("prev").agg(F.max("prev_n").alias("prev_n"))
     count = F.coalesce("n", F.lit(0)) + F.lit(alpha)
@@ -51,5 +56,5 @@ def score_sequences(
             F.sum("_times").alias("n_pairs"),
             F.sum(F.col("_times") * F.log(count / total)).alias("log_prob"),
         )
-        .withColumn("perplexity", F.exp(-F.col("log_prob") / F.col("n_pairs")))
+        .withColumn("perplexity", F.exp(-F.try_divide("log_prob", "n_pairs")))
     )

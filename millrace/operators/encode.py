@@ -115,7 +115,9 @@ def _symbols_to_bytes(token: Column) -> Column:
     moved = [byte for byte in range(1, 256) if BYTE_SYMBOLS[byte] != chr(byte)]
     symbols = "".join(BYTE_SYMBOLS[byte] for byte in moved)
     bytes_text = F.translate(token, symbols, "".join(chr(byte) for byte in moved))
-    return F.replace(bytes_text, F.lit(BYTE_SYMBOLS[0]), F.lit(chr(0)))
+    bytes_text = F.replace(bytes_text, F.lit(BYTE_SYMBOLS[0]), F.lit(chr(0)))
+    plain = F.translate(token, "".join(BYTE_SYMBOLS), "") == ""
+    return F.when(plain, bytes_text).otherwise(F.decode(F.encode(token, "UTF-8"), "ISO-8859-1"))
 
 
 def check_ids(tokens: DataFrame, ids: str, vocab: DataFrame) -> DataFrame:

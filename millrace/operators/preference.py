@@ -14,11 +14,12 @@ def preference_tokens(
     """``(key, chosen_ids, chosen_labels, rejected_ids, rejected_labels)``.
 
     Takes ``prompt``, ``chosen`` and ``rejected`` id lists. The prompt keeps its
-    tail, the completions keep their heads, and prompt positions carry no label.
+    tail, the completions keep their heads, and prompt positions carry no label. No
+    list is longer than ``max_length``, which limits the prompt too.
     """
-    prompt = F.when(
-        F.size("prompt") > max_prompt_length, F.slice("prompt", -max_prompt_length, max_prompt_length)
-    ).otherwise(F.col("prompt"))
+    tail = max(0, min(max_prompt_length, max_length))
+    cut = F.slice("prompt", -tail, tail) if tail else F.slice("prompt", 1, 0)
+    prompt = F.when(F.size("prompt") > tail, cut).otherwise(F.col("prompt"))
     limited = pairs.withColumn("_prompt", prompt)
     room = F.lit(max_length) - F.size("_prompt")
 

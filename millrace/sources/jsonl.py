@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,13 +55,20 @@ def limit_examples(
     if not last:
         return df
     *leading, final = order_by
-    within = F.col(final) <= F.lit(last[0][final])
+    end = last[0]
+    within = _below(final, end[final]) | F.col(final).eqNullSafe(F.lit(end[final]))
     for column in reversed(leading):
-        value = F.lit(last[0][column])
-        within = (F.col(column) < value) | ((F.col(column) == value) & within)
+        within = _below(column, end[column]) | (F.col(column).eqNullSafe(F.lit(end[column])) & within)
     return df.filter(within)
 
 
+def _below(column: str, value: object) -> Column:
+    """Whether a column sorts before ``value``; nulls sort before everything."""
+    if value is None:
+        return F.lit(False)
+    return F.col(column).isNull() | (F.col(column) < F.lit(value))
+
+
 def _first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first rows of every task, of every group of tasks, and of all groups.
 

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 MANIFEST_SCHEMA = "state STRING, fields STRING, n_rows BIGINT, version STRING"
 
 
-def materialize_stage(df: DataFrame, path: str, version: str = "") -> DataFrame:
+def materialize_stage(df: DataFrame, path: str, version: str) -> DataFrame:
     """``df`` written below ``path`` and read back, or the rows of an earlier run.
 
     The manifest says ``building`` before the first row is written and ``complete``
     after the last, so an interrupted write is found and written again. Rows are
     reused only if state, schema, ``version`` and the number of rows all agree.
+    ``version`` has to change with the input and the code. A part that can't be read
+    is counted as missing.
     """
     spark = df.sparkSession
     fields = df.schema.simpleString()
@@ -29,7 +32,7 @@ def materialize_stage(df: DataFrame, path: str, version: str = "") -> DataFrame:
     return spark.read.schema(df.schema).parquet(data)
 
 
-def is_complete(spark: SparkSession, path: str, fields: str, version: str = "") -> bool:
+def is_complete(spark: SparkSession, path: str, fields: str, version: str) -> bool:
     """Whether ``path`` holds a finished stage of this schema and version."""
     try:
         manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/manifest").collect()
@@ -38,7 +41,8 @@ def is_complete(spark: SparkSession, path: str, fields: str, version: str = "")
         if (manifest[0].fields, manifest[0].version) != (fields, version):
             return False
         return spark.read.parquet(f"{path}/data").count() == manifest[0].n_rows
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
+        # Missing or damaged files; the stage is written again.
         return False
 
 
@@ -47,8 +51,9 @@ def keep_latest(
 ) -> DataFrame:
     """The newest ``n`` rows of every run.
 
-    Spark keeps at most ``n`` rows per run and task before the shuffle, so a run
-    with very many rows sends few.
+    ``order_by`` has to tell the rows of a run apart. Up to an ``n`` of 1000 Spark
+    keeps at most ``n`` rows per run and task before the shuffle, so a run with very
+    many rows sends few; beyond it the whole run is sorted in one task.
     """
     newest = Window.partitionBy(*partition_by).orderBy(*[F.desc(c) for c in order_by])
     return runs.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= n).drop("_place")

@@ -66,6 +66,7 @@ def test_bigram_likelihood(spark):
     rows = spark.createDataFrame([(1, [1, 2, 3, 1, 2]), (2, [9])], "k INT, ids ARRAY<INT>")
     scored = {r.k: r for r in score_sequences(rows, "k", model, vocab_size=4, alpha=0.5).collect()}
     expected = 2 * math.log(2.5 / 4) + math.log(0.5 / 3) + math.log(0.5 / 2)
-    assert set(scored) == {1} and scored[1].n_pairs == 4
+    assert set(scored) == {1, 2} and scored[1].n_pairs == 4
+    assert tuple(scored[2]) == (2, 0, 0.0, None)
     assert scored[1].log_prob == pytest.approx(expected)
     assert scored[1].perplexity == pytest.approx(math.exp(-expected / 4))

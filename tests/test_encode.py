@@ -74,6 +74,14 @@ def test_big_vocabularies_decode_by_join(spark, learned, monkeypatch):
     assert [r.text for r in got.collect()] == expected
 
 
+def test_other_characters_in_specials(spark, monkeypatch):
+    vocab = spark.createDataFrame([(0, "<｜s｜>", True), (1, "hé", False)], "id INT, token STRING, special BOOLEAN")
+    table = spark.createDataFrame([([0, 1],)], "ids ARRAY<INT>")
+    small = decode(table, "ids", vocab, skip_special=False).first().text
+    monkeypatch.setattr(module, "MAX_INLINE_VOCABULARY", 1)
+    assert small.startswith("<｜s｜>h") and decode(table, "ids", vocab, skip_special=False).first().text == small
+
+
 def test_check_ids(spark, learned):
     table = spark.createDataFrame([([0, 16, 17],), ([17, -5],)], "ids ARRAY<INT>")
     assert {(r.token_id, r.n) for r in check_ids(table, "ids", learned.vocab).collect()} == {(17, 2), (-5, 1)}

@@ -78,6 +78,19 @@ def test_preference_limits(spark):
     assert got[2] == ([1], [-100], [1, 5, 5, 5], [-100, 5, 5, 5])
 
 
+@pytest.mark.parametrize(("prompt", "total", "expected"), [(0, 3, [4, 5, 6]), (4, 2, [2, 3]), (2, 0, [])])
+def test_preference_limits_hold_at_their_ends(spark, prompt, total, expected):
+    pair = spark.createDataFrame([(1, [1, 2, 3], [4, 5, 6, 7], [8])], "k INT, prompt ARRAY<INT>, chosen ARRAY<INT>, rejected ARRAY<INT>")
+    assert preference_tokens(pair, "k", prompt, total).first().chosen_ids == expected
+
+
+def test_epochs_and_far_steps(spark):
+    with pytest.raises(ValueError):
+        epoch_order(spark.range(3), "id", 0, 1)
+    plan = spark.createDataFrame([(5_000_000_000,)], "last_step LONG")
+    assert run_points(plan, 2, 10).filter("kind = 'log'").count() == 2_500_000_000
+
+
 def test_preference_metrics(spark):
     rows = [(-1.0, -2.0, -1.0, -1.0), (-5.0, -4.0, -1.0, -1.0), (-1e5, -1.0, -1.0, -1.0)]
     names = "policy_chosen DOUBLE, policy_rejected DOUBLE, reference_chosen DOUBLE, reference_rejected DOUBLE"

@@ -42,6 +42,14 @@ def test_large_limits_cut_by_key(spark, monkeypatch):
     assert keys(limit_examples(rows, 5000, ["id"], "clamp")) == list(range(1000))
 
 
+def test_large_limits_keep_null_keys(spark):
+    rows = [(None if k < 1_200 else k % 7, k) for k in range(3_000)]
+    table = spark.createDataFrame(rows, "a INT, b INT")
+    for n in (1_000, 1_100, 1_500, 2_999, 5_000):
+        expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:n]
+        assert sorted(r.b for r in limit_examples(table, n, ["a", "b"], "clamp").collect()) == sorted(b for _, b in expected)
+
+
 def test_positions(spark):
     rows = spark.range(0, 500, 1, 7).withColumn("k", (F.col("id") * 37) % 501)
     got = sorted(positions(rows, ["k"]).collect(), key=lambda r: r.k)
@@ -90,18 +98,21 @@ def test_stage_is_reused_only_when_complete(spark, tmp_path):
             runs.add(1)
             yield frame
 
-    def stage(n=5, version=""):
+    def stage(n=5, version="v1"):
         return keys(materialize_stage(spark.range(0, n, 1, 1).mapInPandas(counted, "id BIGINT"), path, version))
 
     assert stage() == list(range(5)) and runs.value == 1
     assert stage() == list(range(5)) and runs.value == 1
     assert stage(4, "v2") == list(range(4)) and runs.value == 2
-    next((tmp_path / "stage" / "data").glob("*.parquet")).unlink()
+    part = next((tmp_path / "stage" / "data").glob("*.parquet"))
+    part.write_bytes(part.read_bytes()[:-9])
     assert stage(4, "v2") == list(range(4)) and runs.value == 3
+    next((tmp_path / "stage" / "data").glob("*.parquet")).unlink()
+    assert stage(4, "v2") == list(range(4)) and runs.value == 4
     spark.createDataFrame([("building", "", None, "")], "state STRING, fields STRING, n_rows BIGINT, version STRING").write.mode(
         "overwrite"
     ).json(f"{path}/manifest")
-    assert stage(4, "v2") == list(range(4)) and runs.value == 4
+    assert stage(4, "v2") == list(range(4)) and runs.value == 5
 
 
 def test_latest_runs(spark):
