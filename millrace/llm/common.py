@@ -17,14 +17,15 @@ REMEMBERED = 400_000
 SLICE_BYTES = 2_000_000
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, **options: object) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder, read again.
 
-    The plan ends there, and a lost executor loses none of it.
+    The plan ends there, and a lost executor loses none of it. ``options`` are the
+    writer's.
     """
     spark = df.sparkSession
     folder = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -15,6 +15,7 @@ from millrace.llm.mixing import mixed_rates
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.nearest import nearest
 from millrace.llm.packing import packed
+from millrace.llm.phrases import mined
 from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
 from millrace.llm.substrings import without_repeats
@@ -87,6 +88,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_content": op1_html_content,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 #: Where SQL says the same.
