@@ -17,6 +17,11 @@ REMEMBERED = 400_000
 SLICE_BYTES = 2_000_000
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, **options: object) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder, read again.
 
@@ -24,7 +29,7 @@ def written(df: DataFrame, **options: object) -> DataFrame:
     writer's.
     """
     spark = df.sparkSession
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "llm")
     df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import new_folder, table
 from millrace.llm.cotraining import quality_scores
 from millrace.llm.html_content import extracted, train
+from millrace.llm.manifest import verified_manifest
 from millrace.llm.mixing import mixed_rates
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.nearest import nearest
@@ -20,6 +21,7 @@ from millrace.llm.pii import personal_data
 from millrace.llm.quality import quality_rules
 from millrace.llm.substrings import without_repeats
 from millrace.llm.url_lists import host_of, path_of, temporal_list_join
+from millrace.llm.warc import read_archives, write_archives
 
 
 def op1_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +94,18 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mined(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return verified_manifest(table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    records = read_archives(spark, folder, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_content": op1_html_content,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -104,8 +118,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_warc_archives": op13_warc_archives,
 }
 
+def _manifest_sql(levels: int = 5, fanout: int = 16) -> str:
+    """Trees level by level: up to ``fanout ** levels`` rows a source, and as many sources."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+
+    def leaf(text: str) -> str:
+        values = [text if f == "text" else f"{f}::VARCHAR" for f in fields]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    # CRC-32, bit by bit, of the digits of an id.
+    step = "CASE WHEN {c} & 1 = 1 THEN xor({c} >> 1, 3988292384) ELSE {c} >> 1 END"
+    folded = "c0"
+    ctes = ["crc0 AS (SELECT range AS byte, range::BIGINT AS c0 FROM range(256))"]
+    for k in range(8):
+        ctes.append(f"crc{k + 1} AS (SELECT byte, {step.format(c=folded)} AS c{k + 1} FROM crc{k})")
+        folded = f"c{k + 1}"
+    ctes.append("crcs AS (SELECT list(c8 ORDER BY byte) AS t FROM crc8)")
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)), "
+        "lambda c, d: xor(c >> 8, t[(xor(c, d) & 255) + 1])), 4294967295)"
+    )
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes.append(
+        f"leaves AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf('text')} AS digest, "
+        f"CASE WHEN text IS NOT NULL AND {crc} % 5 = 0 THEN {leaf(lowered)} END AS changed FROM documents, crcs)"
+    )
+    ctes.append("d0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM leaves)")
+
+    def climb(first: str, name: str) -> None:
+        ctes.append(f"{name}0 AS (SELECT tree, pos, digest FROM {first})")
+        for k in range(levels):
+            ctes.append(
+                f"{name}s{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) = 1 AS lone, "
+                f"coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // {fanout} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+                f"coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // {fanout} ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})"
+            )
+            ctes.append(
+                f"{name}{k + 1} AS (SELECT tree, pos // {fanout} AS pos, CASE WHEN any_value(lone) THEN any_value(digest) "
+                f"ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest FROM {name}s{k} GROUP BY tree, pos // {fanout})"
+            )
+
+    climb("d0", "a")
+    ctes.append(f"tops AS (SELECT tree AS source, '' AS tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos FROM a{levels})")
+    climb("tops", "b")
+    ctes.append("w0 AS (SELECT doc_id, d0.tree, d0.pos, d0.digest AS leaf, coalesce(changed, d0.digest) AS fold, '' AS proof, tops.pos AS top, tops.digest AS subroot FROM d0 JOIN tops ON d0.tree = tops.source)")
+    for k in range(2 * levels):
+        name, level = ("a", k) if k < levels else ("b", k - levels)
+        place, tree = ("w.pos", "w.tree") if k < levels else ("w.top", "''")
+        ctes.append(
+            f"w{k + 1} AS (SELECT w.* REPLACE (CASE WHEN lone THEN fold ELSE sha256(l || fold || r) END AS fold, "
+            f"proof || CASE WHEN lone THEN '' ELSE l || r END AS proof) FROM w{k} w JOIN {name}s{level} s "
+            f"ON s.tree = {tree} AND s.pos = {place} // {fanout**level})"
+        )
+    return (
+        "WITH " + ",\n".join(ctes) + f" SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, "
+        f"fold AS folded_root, fold = digest AS verified FROM w{2 * levels}, b{levels}"
+    )
+
+
+_DIGEST = "sha1(coalesce(html, ''))"
+
 #: Where SQL says the same.
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filters": r"""
@@ -144,5 +220,16 @@ WITH captures AS (
 )
 SELECT page_id, c.url, c.fetched_us, coalesce(n, 0) AS n_active, coalesce(patterns, '') AS patterns, coalesce(n, 0) > 0 AS blocked
 FROM captures c LEFT JOIN found f ON c.url = f.url AND c.fetched_us = f.fetched_us
+""",
+    "op12_merkle_manifest": _manifest_sql(),
+    "op13_warc_archives": f"""
+WITH digested AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, {_DIGEST} AS hex, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS kept FROM pages
+)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(hex, (k // 4)::INTEGER * 5 + 1, 5))::BIGINT >> (5 * (3 - k % 4))::INTEGER) & 31) + 1), 1)), '') AS payload_digest,
+    CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM digested
 """,
 }
