@@ -11,8 +11,8 @@ closed word's bound reaches that score, so ties are in, too.
 
 A round reads the corpus once for each length. Tasks look up whether a position can
 start a phrase in bit tables of a fixed size, filled from hashes of the prefixes that
-are left; a false hit costs a row and changes nothing, as Spark counts phrases by all
-their words. One more reading counts the rests of the candidates found, and their
+are left; false hits cost rows, which go when Spark has counted phrases by all their
+words. One more reading counts the rests of the candidates found, and their
 extensions by a word on the left. A phrase inside a longer candidate with (nearly) its
 count is also inside one that is longer by one word, so these settle what survives.
 
@@ -33,6 +33,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,6 +83,8 @@ def mined(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
             scores = _scored(_surviving(found, mining), found, words, totals)
             scores = scores if best is None else scores.unionByName(best.drop("place"))
             best = written(_cut(scores, mining.best, [F.desc("score"), F.desc("a")], F.rank()))
+            for shared in found["shared"]:
+                shared.unpersist()
         share *= GROWTH
     if best is None:
         return _nothing(texts)
@@ -112,7 +115,8 @@ class _Words:
 
 
 def _language_key(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(errors="surrogatepass")))
+    """A number to start keys with; longer than the language, as a word may be spelled like it."""
+    return np.uint64(xxhash.xxh3_64_intdigest(b"language " + lang.encode(errors="surrogatepass")))
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
@@ -168,31 +172,43 @@ def _batch(lang: str, n: int, names: list[str], columns: list) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays, ["lang", *names])
 
 
-def _bits(counted: DataFrame):
-    """A shared bit table of the keys. At most 2 ** 20 rows reach the driver, from any table."""
+def _bits(counted: DataFrame) -> Broadcast:
+    """A shared bit table of the keys: its slots that have bits, and these bits.
+
+    At most 2 ** 20 rows reach the driver, from any table.
+    """
     bit = F.shiftrightunsigned("key", _BIT).bitwiseAND(F.lit(63)).cast("int")
-    slots = counted.groupBy(F.shiftrightunsigned("key", _SLOT).alias("slot")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    rows = slots.toArrow()
-    table = np.zeros(1 << (64 - _SLOT), np.int64)
-    table[rows["slot"].to_numpy()] = rows["bits"].to_numpy()
-    return counted.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits")
+    rows = counted.groupBy(F.shiftrightunsigned("key", _SLOT).cast("int").alias("slot")).agg(bits).toArrow()
+    shared = rows["slot"].to_numpy(), rows["bits"].to_numpy()
+    return counted.sparkSession.sparkContext.broadcast(shared)
+
+
+def _table(shared: Broadcast | None) -> np.ndarray | None:
+    """The whole bit table, in a task."""
+    if shared is None:
+        return None
+    slots, bits = shared.value
+    table = np.zeros(1 << (64 - _SLOT), np.uint64)
+    table[slots] = bits.view(np.uint64)
+    return table
 
 
 def _among(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[keys >> np.uint64(_SLOT)] >> ((keys >> np.uint64(_BIT)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _runs(texts: DataFrame, seed: int, frequent) -> DataFrame:
+def _runs(texts: DataFrame, seed: int, shared: Broadcast) -> DataFrame:
     """The corpus as hashes of frequent words; one 0 stands for everything between them."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(seed)
+        words, frequent = _Words(seed), _table(shared)
         for batch in batches:
             for lang, texts in _by_language(batch):
                 if len(words.numbers) > REMEMBERED:
                     words = _Words(seed)
                 numbers = words.sequence(texts)
-                kept = np.where(_among(mixed(words.hashes ^ _language_key(lang)), frequent.value), words.hashes, np.uint64(0))
+                kept = np.where(_among(mixed(words.hashes ^ _language_key(lang)), frequent), words.hashes, np.uint64(0))
                 kept[0] = 0
                 run = kept[numbers]
                 run = run[(run != 0) | np.concatenate(([False], run[:-1] != 0))]
@@ -237,12 +253,13 @@ def _counter(wanted: dict[int, list], left: bool):
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = {shared: _table(shared) for tables in wanted.values() for shared in tables}
         for batch in batches:
             lists = batch.column("words")
             for i, lang in enumerate(batch.column("lang").to_pylist()):
                 run = lists[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
                 for m, tables in wanted.items():
-                    yield from _phrases(lang, run, m, tables, left)
+                    yield from _phrases(lang, run, m, [opened[shared] for shared in tables], left)
 
     return count
 
@@ -256,7 +273,7 @@ def _keys(lang: str, run: np.ndarray, places: np.ndarray, tables: list) -> tuple
         there = ahead != 0
         places, keys = places[there], mixed(keys[there] ^ ahead[there])
         if table is not None:
-            met = _among(keys, table.value)
+            met = _among(keys, table)
             places, keys = places[met], keys[met]
     return places, keys
 
@@ -285,10 +302,13 @@ def _phrases(lang: str, run: np.ndarray, m: int, tables: list, left: bool) -> It
 def _grown(corpus: DataFrame, words: DataFrame, limits: DataFrame, mining: Mining) -> dict | None:
     """Candidates that start with an opened word, by length, and what their scores and survival need."""
     opened = words.join(limits, "lang").filter("n > after and n <= upto").select("lang", "phrase", "key", "n")
+    firsts = opened.select("lang", F.col("phrase").alias("first"))
     grown, tables = {}, [_bits(opened)]
     for m in range(2, mining.longest + 1):
         counted = _totals(corpus.mapInArrow(_counter({m: [*tables, None]}, False), _COUNTS))
-        level = written(counted.filter(F.col("n") >= mining.least))
+        started = counted.filter(F.col("n") >= mining.least).withColumn("first", F.substring("phrase", 1, 8))
+        # False hits of the bit tables go here.
+        level = written(started.join(firsts, ["lang", "first"], "left_semi").drop("first"))
         if level.isEmpty():
             break
         grown[m] = level
@@ -311,6 +331,7 @@ def _grown(corpus: DataFrame, words: DataFrame, limits: DataFrame, mining: Minin
         lefts = _totals(corpus.mapInArrow(_counter(before, True), _COUNTS))
         longer.append(lefts.select("lang", F.expr("substring(phrase, 9)").alias("phrase"), "n"))
     return {
+        "shared": [shared for tables_of in (tables, *wanted.values()) for shared in tables_of if shared is not None],
         "phrases": _all([level.withColumn("size", F.lit(m)) for m, level in grown.items()]),
         "prefixes": _all([opened.select("lang", "phrase", "n"), *[level.select("lang", "phrase", "n") for level in inner.values()]]),
         "rests": written(_all(lookup)),

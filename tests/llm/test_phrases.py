@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from millrace.llm import phrases
@@ -75,6 +76,15 @@ def test_a_small_frontier_settles_without_the_frequent_words(documents, monkeypa
     assert most["en"] < commonest / 10
 
 
+def test_false_hits_of_bit_tables_change_nothing(documents, monkeypatch):
+    """Every position counts as a hit."""
+    monkeypatch.setattr(phrases, "_bits", lambda counted: None)
+    monkeypatch.setattr(phrases, "_among", lambda keys, table: np.ones(len(keys), bool))
+    mining = Mining(5, 4, 30)
+    rows = [(r.lang, r.text) for r in documents.select("lang", "text").collect()]
+    assert result(mined(documents, mining)) == brute_force(rows, mining)
+
+
 def test_ties_are_cut_in_byte_order(spark):
     """Forty phrases with one score, of which seven are wanted; a hot language; pieces end phrases."""
     texts = [f"x{k} y{k}. z{k}" for k in range(40)] * 3
