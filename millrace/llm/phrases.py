@@ -16,8 +16,8 @@ words. One more reading counts the rests of the candidates found, and their
 extensions by a word on the left. A phrase inside a longer candidate with (nearly) its
 count is also inside one that is longer by one word, so these settle what survives.
 
-Words are 64-bit hashes; that no two words of a language share one is checked on all
-words, and another seed is taken if some do. Products are decimals of 38 digits.
+Words are 64-bit hashes. That no two words of a language share one is checked on all
+words, by 64 further bits, and another seed is taken if some do. Products are decimals of 38 digits.
 
 A null text is empty, a null language ``und``. Rows without words, and tables without
 rows, give nothing; repeated rows count as often as they stand there. Only ``lang``
@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +36,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import REMEMBERED, Numbering, mixed, slices, written
+from millrace.llm.common import REMEMBERED, mixed, slices, written
 
 #: A byte that no text in UTF-8 has stands between pieces.
 _BETWEEN = b"\xff"
-_SPLIT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r" + bytes(range(65, 91)), _BETWEEN * 10 + bytes(range(97, 123)))
-_WORDS = "lang string, phrase binary, key long, word string, n long"
+_SPLIT = bytes.maketrans(b"\t.,;:!?\n\x0b\x0c\r" + bytes(range(65, 91)), b" " + _BETWEEN * 10 + bytes(range(97, 123)))
+_WORDS = "lang string, phrase binary, key long, check long, n long"
 _COUNTS = "lang string, phrase binary, key long, n long"
-_CORPUS = "lang string, words array<long>"
+_CORPUS = "lang string, words array<long>, phrase binary, word string"
 #: A bit table has 2 ** 26 bits in 2 ** 20 numbers, whatever it is filled with.
 _SLOT, _BIT = 44, 38
 #: The frontier's share of a language in the first round, and its growth while scores are too few.
@@ -72,7 +71,9 @@ def mined(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     seed, words = _count_words(texts, mining)
     totals = words.filter("phrase is null").select("lang", F.col("n").alias("total"))
     words = words.filter("phrase is not null")
-    corpus = written(_runs(texts, seed, _bits(words)), **_ROW_GROUPS)
+    runs = written(_runs(texts, seed, _bits(words)), **_ROW_GROUPS)
+    corpus = runs.filter("words is not null").select("lang", "words")
+    names = runs.filter("word is not null").select("lang", F.col("phrase").alias("one"), "word").distinct()
     best, limits, share = None, None, FIRST_SHARE
     while True:
         limits = written(_opened(words, totals, limits, best, share, mining))
@@ -83,12 +84,12 @@ def mined(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
             scores = _scored(_surviving(found, mining), found, words, totals)
             scores = scores if best is None else scores.unionByName(best.drop("place"))
             best = written(_cut(scores, mining.best, [F.desc("score"), F.desc("a")], F.rank()))
-            for shared in found["shared"]:
-                shared.unpersist()
+            for bits in filter(None, found["shared"]):
+                bits.unpersist()
         share *= GROWTH
     if best is None:
         return _nothing(texts)
-    spelled = _cut(_spelled(best, words), mining.best, [F.desc("score"), F.desc("a"), "phrase"], F.row_number())
+    spelled = _cut(_spelled(best, names), mining.best, [F.desc("score"), F.desc("a"), "phrase"], F.row_number())
     return spelled.select("lang", F.col("place").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "cut")
 
 
@@ -98,20 +99,33 @@ def _nothing(texts: DataFrame) -> DataFrame:
     )
 
 
-class _Words:
-    """Numbers of words as a task meets them, and their hashes; 0 stands between pieces."""
+class _Words(dict):
+    """Numbers of words as a task meets them, their spelling and two hashes; 0 stands between pieces.
+
+    A word is looked up with the blank behind it; a blank alone is no word.
+    """
 
     def __init__(self, seed: int) -> None:
-        self.seed, self.numbers, self.hashes = seed, Numbering(), np.zeros(1, np.uint64)
-        self.numbers[_BETWEEN]
+        super().__init__({_BETWEEN + b" ": 0, b" ": 1})
+        self.seed, self.spelled = seed, [_BETWEEN, b""]
+        self.hashes, self.checks = np.zeros(2, np.uint64), np.zeros(2, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.spelled.append(word[:-1])
+        return number
 
     def sequence(self, texts: list[bytes]) -> np.ndarray:
-        blob = _BETWEEN.join(texts).translate(_SPLIT).replace(_BETWEEN, b" " + _BETWEEN + b" ")
-        numbers = self.numbers.numbers(blob.split())
-        new = islice(self.numbers, len(self.hashes), None)
-        more = np.fromiter((xxhash.xxh3_64_intdigest(w, self.seed) or 1 for w in new), np.uint64)
-        self.hashes = np.concatenate((self.hashes, more))
-        return numbers
+        blob = _BETWEEN.join(texts).translate(_SPLIT).replace(_BETWEEN, b" " + _BETWEEN + b" ") + b" "
+        ends = np.flatnonzero(np.frombuffer(blob, np.uint8) == ord(" ")) + 1
+        words = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate(([0], ends))), pa.py_buffer(blob)])
+        words = words.dictionary_encode()
+        numbers = np.array([self[w] for w in words.dictionary.to_pylist()], np.int64)[words.indices.to_numpy()]
+        new = b"".join([xxhash.xxh3_128_digest(w, self.seed) for w in self.spelled[len(self.hashes) :]])
+        both = np.frombuffer(new, "<u8").reshape(-1, 2)
+        self.hashes = np.concatenate((self.hashes, np.maximum(both[:, 0], 1)))
+        self.checks = np.concatenate((self.checks, both[:, 1].view(np.int64)))
+        return numbers[numbers != 1]
 
 
 def _language_key(lang: str) -> np.uint64:
@@ -131,33 +145,34 @@ def _count_words(texts: DataFrame, mining: Mining) -> tuple[int, DataFrame]:
     """The seed of the hashes, and the frequent words; a null word has its language's total."""
     seed = 0
     while True:
-        rows = texts.mapInArrow(_word_counter(seed), _WORDS).groupBy("lang", "phrase")
-        words = rows.agg(F.min("key").alias("key"), F.min("word").alias("word"), F.max("word").alias("other"), F.sum("n").alias("n"))
-        words = written(words.filter(f"n >= {mining.least} or phrase is null or word != other"))
-        if words.filter("word != other").isEmpty():
-            return seed, words.drop("other")
+        rows = texts.mapInArrow(_word_counter(seed), _WORDS).groupBy("lang", "phrase", "key")
+        words = rows.agg(F.min("check").alias("least"), F.max("check").alias("most"), F.sum("n").alias("n"))
+        words = written(words.filter(f"n >= {mining.least} or phrase is null or least != most"))
+        if words.filter("least != most").isEmpty():
+            return seed, words.drop("least", "most")
         seed += 1
 
 
 def _word_counter(seed: int):
     def rows(words: _Words, counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        spelled = np.array(list(words.numbers), object)
         for lang, n in counts.items():
-            met = np.flatnonzero(n[1:]) + 1
-            keys = mixed(words.hashes[met] ^ _language_key(lang)).view(np.int64)
-            columns = [words.hashes[met].astype("<u8").view("V8").tolist(), keys, pa.array(spelled[met], pa.binary()).cast(pa.string()), n[met]]
-            yield _batch(lang, len(met), ["phrase", "key", "word", "n"], columns)
-            yield _batch(lang, 1, ["phrase", "key", "word", "n"], [[None], pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), [int(n[1:].sum())]])
+            met = np.flatnonzero(n[2:]) + 2
+            hashes, n = words.hashes[met], n[met]
+            keys = mixed(hashes ^ _language_key(lang)).view(np.int64)
+            yield _batch(lang, phrase=_packed(hashes[:, None]), key=keys, check=words.checks[met], n=n)
+            yield _batch(lang, phrase=pa.nulls(1, pa.binary()), key=pa.nulls(1, pa.int64()), check=pa.nulls(1, pa.int64()), n=n.sum()[None])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = _Words(seed), {}
         for batch in batches:
             for lang, texts in _by_language(batch):
                 n = np.bincount(words.sequence(texts), minlength=1)
-                before = counts.get(lang, np.zeros(1, np.int64))
-                size = max(len(n), len(before))
-                counts[lang] = np.pad(n, (0, size - len(n))) + np.pad(before, (0, size - len(before)))
-                if len(words.numbers) > REMEMBERED:
+                total = counts.get(lang, n[:0])
+                if len(total) < len(n):
+                    total = np.concatenate((total, np.zeros(2 * len(n) - len(total), np.int64)))
+                total[: len(n)] += n
+                counts[lang] = total
+                if len(words) > REMEMBERED:
                     yield from rows(words, counts)
                     words, counts = _Words(seed), {}
         yield from rows(words, counts)
@@ -165,11 +180,16 @@ def _word_counter(seed: int):
     return count
 
 
-def _batch(lang: str, n: int, names: list[str], columns: list) -> pa.RecordBatch:
-    arrays = [pa.array([lang] * n, pa.string())]
-    for name, column in zip(names, columns, strict=True):
-        arrays.append(pa.array(column, pa.binary()) if name == "phrase" else column if isinstance(column, pa.Array) else pa.array(column, pa.int64()))
-    return pa.RecordBatch.from_arrays(arrays, ["lang", *names])
+def _packed(rows: np.ndarray) -> pa.Array:
+    """Rows of hashes as binary values."""
+    count, m = rows.shape
+    offsets = np.arange(count + 1, dtype=np.int32) * np.int32(8 * m)
+    return pa.Array.from_buffers(pa.binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows, "<u8"))])
+
+
+def _batch(lang: str, **columns: pa.Array | np.ndarray) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(arrays[0])), *arrays], ["lang", *columns])
 
 
 def _bits(counted: DataFrame) -> Broadcast:
@@ -199,21 +219,28 @@ def _among(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _runs(texts: DataFrame, seed: int, shared: Broadcast) -> DataFrame:
-    """The corpus as hashes of frequent words; one 0 stands for everything between them."""
+    """The corpus as hashes of frequent words; one 0 stands for everything between them.
+
+    Rows without a list name the words that their task met.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, frequent = _Words(seed), _table(shared)
+        words, kept, frequent = _Words(seed), {}, _table(shared)
         for batch in batches:
             for lang, texts in _by_language(batch):
-                if len(words.numbers) > REMEMBERED:
-                    words = _Words(seed)
+                if len(words) > REMEMBERED:
+                    words, kept = _Words(seed), {}
                 numbers = words.sequence(texts)
-                kept = np.where(_among(mixed(words.hashes ^ _language_key(lang)), frequent), words.hashes, np.uint64(0))
-                kept[0] = 0
-                run = kept[numbers]
+                known = kept.get(lang, words.hashes[:0])
+                new = words.hashes[len(known) :]
+                met = _among(mixed(new ^ _language_key(lang)), frequent) & (new != 0)
+                kept[lang] = np.concatenate((known, np.where(met, new, np.uint64(0))))
+                names = pa.array([words.spelled[k] for k in np.flatnonzero(met) + len(known)], pa.binary())
+                yield _batch(lang, words=pa.nulls(len(names), pa.list_(pa.int64())), phrase=_packed(new[met][:, None]), word=names.cast(pa.string()))
+                run = kept[lang][numbers]
                 run = run[(run != 0) | np.concatenate(([False], run[:-1] != 0))]
                 lists = pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), pa.array(run.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), lists], ["lang", "words"])
+                yield _batch(lang, words=lists, phrase=pa.nulls(1, pa.binary()), word=pa.nulls(1, pa.string()))
 
     return texts.mapInArrow(encode, _CORPUS)
 
@@ -244,59 +271,81 @@ def _opened(words: DataFrame, totals: DataFrame, limits: DataFrame | None, best:
     return reached.join(last, "lang", "left").select("lang", "total", "after", upto.alias("upto"))
 
 
-def _counter(wanted: dict[int, list], left: bool):
-    """Counts phrases of the corpus.
-
-    ``wanted`` gives for a number of words the bit tables that its leading words have to
-    be in, from one word on (None: any). With ``left``, the table is that of all the
-    words but the first instead.
-    """
+def _each(corpus: DataFrame, schema: str, shared: dict, rows) -> DataFrame:
+    """What ``rows(lang, words, bit tables)`` makes of every run of the corpus."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = {shared: _table(shared) for tables in wanted.values() for shared in tables}
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = {name: _table(bits) for name, bits in shared.items()}
         for batch in batches:
             lists = batch.column("words")
             for i, lang in enumerate(batch.column("lang").to_pylist()):
                 run = lists[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                for m, tables in wanted.items():
-                    yield from _phrases(lang, run, m, [opened[shared] for shared in tables], left)
+                yield from rows(lang, run, tables)
 
-    return count
+    return corpus.mapInArrow(tasks, schema)
 
 
-def _keys(lang: str, run: np.ndarray, places: np.ndarray, tables: list) -> tuple[np.ndarray, np.ndarray]:
-    """The places whose next words are all there and in the tables, and the keys of these words."""
-    padded = np.concatenate((run, np.zeros(8, np.uint64)))
-    keys = np.zeros(len(places), np.uint64) + _language_key(lang)
-    for m, table in enumerate(tables):
-        ahead = padded[places + m]
+def _growing(lang: str, run: np.ndarray, longest: int) -> Iterator[tuple]:
+    """The places of phrases of 1, 2, … words and their keys. The places sent back go on growing."""
+    padded = np.concatenate((run, np.zeros(longest, np.uint64)))
+    places, keys = np.arange(len(run)), np.full(len(run), _language_key(lang))
+    for m in range(1, longest + 1):
+        ahead = padded[places + m - 1]
         there = ahead != 0
         places, keys = places[there], mixed(keys[there] ^ ahead[there])
-        if table is not None:
-            met = _among(keys, table)
-            places, keys = places[met], keys[met]
-    return places, keys
-
-
-def _phrases(lang: str, run: np.ndarray, m: int, tables: list, left: bool) -> Iterator[pa.RecordBatch]:
-    everywhere = np.arange(len(run))
-    if left:
-        # Where the words after the first are wanted, with a word before them.
-        places, _ = _keys(lang, run, everywhere[1:], tables)
-        places, keys = _keys(lang, run, places - 1, [None] * m)
-    else:
-        places, keys = _keys(lang, run, everywhere, tables)
+        on = yield m, places, keys
+        if on is not None:
+            places, keys = places[on], keys[on]
+            yield
+
+
+def _phrases(lang: str, run: np.ndarray, places: np.ndarray, keys: np.ndarray, m: int, **marks: bool) -> Iterator[pa.RecordBatch]:
+    """The phrases of ``m`` words at these places, counted by keys that tell most of them apart."""
     if not len(places):
         return
-    _, first, group, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(keys)
+    places, keys = places[order], keys[order]
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     rows = np.stack([run[places + j] for j in range(m)], axis=1)
+    n = np.diff(starts, append=len(keys))
     # Equal keys of different words are rare, and counted one by one.
-    same = (rows == rows[first[group]]).all(axis=1)
-    if not same.all():
-        n = np.bincount(group[same], minlength=len(n))
-        first, n = np.concatenate((first, np.flatnonzero(~same))), np.concatenate((n, np.ones((~same).sum(), np.int64)))
-    phrases = np.ascontiguousarray(rows[first].astype("<u8")).view(f"V{8 * m}").ravel()
-    yield _batch(lang, len(first), ["phrase", "key", "n"], [phrases.tolist(), keys[first].view(np.int64), n])
+    other = (rows != np.repeat(rows[starts], n, axis=0)).any(axis=1)
+    if other.any():
+        n = n - np.add.reduceat(other, starts, dtype=np.int64)
+        starts, n = np.concatenate((starts, np.flatnonzero(other))), np.concatenate((n, np.ones(other.sum(), np.int64)))
+    columns = {name: np.full(len(n), value) for name, value in marks.items()}
+    yield _batch(lang, phrase=_packed(rows[starts]), key=keys[starts].view(np.int64), n=n, **columns)
+
+
+def _starting(size: int):
+    """Phrases of ``size`` words whose shorter prefixes are all in the bit tables."""
+
+    def rows(lang: str, run: np.ndarray, tables: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        growing = _growing(lang, run, size)
+        for m, places, keys in growing:
+            if m == size:
+                yield from _phrases(lang, run, places, keys, m)
+            elif tables[m] is not None:
+                growing.send(_among(keys, tables[m]))
+
+    return rows
+
+
+def _around(longest: int):
+    """Phrases in the bit tables of rests, and those in the tables of candidates with the word before them."""
+
+    def rows(lang: str, run: np.ndarray, tables: dict[tuple, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for m, places, keys in _growing(lang, run, longest):
+            if ("rest", m) in tables:
+                met = _among(keys, tables["rest", m])
+                yield from _phrases(lang, run, places[met], keys[met], m, left=False)
+            if ("inner", m) in tables:
+                met = _among(keys, tables["inner", m]) & (places > 0)
+                met[met] = run[places[met] - 1] != 0
+                before = places[met] - 1
+                yield from _phrases(lang, run, before, mixed(keys[met] + run[before]), m + 1, left=True)
+
+    return rows
 
 
 def _grown(corpus: DataFrame, words: DataFrame, limits: DataFrame, mining: Mining) -> dict | None:
@@ -305,36 +354,38 @@ def _grown(corpus: DataFrame, words: DataFrame, limits: DataFrame, mining: Minin
     firsts = opened.select("lang", F.col("phrase").alias("first"))
     grown, tables = {}, [_bits(opened)]
     for m in range(2, mining.longest + 1):
-        counted = _totals(corpus.mapInArrow(_counter({m: [*tables, None]}, False), _COUNTS))
-        started = counted.filter(F.col("n") >= mining.least).withColumn("first", F.substring("phrase", 1, 8))
+        counted = _totals(_each(corpus, _COUNTS, dict(enumerate(tables, 1)), _starting(m)))
+        # Written before the join, which Spark would move below the count.
+        counted = written(counted.filter(F.col("n") >= mining.least).withColumn("first", F.substring("phrase", 1, 8)))
         # False hits of the bit tables go here.
-        level = written(started.join(firsts, ["lang", "first"], "left_semi").drop("first"))
+        level = written(counted.join(firsts, ["lang", "first"], "left_semi").drop("first"))
         if level.isEmpty():
             break
         grown[m] = level
         tables.append(_bits(level))
     if not grown:
         return None
-    inner = {m: level for m, level in grown.items() if m < mining.longest}
+    inner = [m for m in grown if m < mining.longest]
     # Rests of two words and more, by their number of words.
     rests: dict[int, list[DataFrame]] = {}
     for m, level in grown.items():
         for k in range(1, m - 1):
             rests.setdefault(m - k, []).append(level.select("lang", F.substring("phrase", 8 * k + 1, 8 * m).alias("phrase")))
-    wanted = {m: [None] * (m - 1) + [_bits(_keyed(_all(parts)))] for m, parts in rests.items()}
-    lookup = [words.select("lang", "phrase", "n")]
-    if wanted:
-        lookup.append(_totals(corpus.mapInArrow(_counter(wanted, False), _COUNTS)).select("lang", "phrase", "n"))
-    longer = [grown[m + 1].select("lang", F.substring("phrase", 1, 8 * m).alias("phrase"), "n") for m in inner if m + 1 in grown]
-    if inner:
-        before = {m + 1: [None] * (m - 1) + [tables[m - 1]] for m in inner}
-        lefts = _totals(corpus.mapInArrow(_counter(before, True), _COUNTS))
-        longer.append(lefts.select("lang", F.expr("substring(phrase, 9)").alias("phrase"), "n"))
+    shared = {("rest", m): _bits(_keyed(_all(parts))) for m, parts in rests.items()}
+    shared |= {("inner", m): tables[m - 1] for m in inner}
+    lookup, longer = [words.select("lang", "phrase", "n")], []
+    if shared:
+        longest = max(m for _, m in shared)
+        around = _each(corpus, f"{_COUNTS}, left boolean", shared, _around(longest)).groupBy("lang", "left", "phrase").agg(F.sum("n").alias("n"))
+        around = written(around)
+        lookup.append(around.filter(~F.col("left")).select("lang", "phrase", "n"))
+        longer.append(around.filter("left").select("lang", F.expr("substring(phrase, 9)").alias("phrase"), "n"))
+    longer += [grown[m + 1].select("lang", F.substring("phrase", 1, 8 * m).alias("phrase"), "n") for m in inner if m + 1 in grown]
     return {
-        "shared": [shared for tables_of in (tables, *wanted.values()) for shared in tables_of if shared is not None],
+        "shared": [*tables, *shared.values()],
         "phrases": _all([level.withColumn("size", F.lit(m)) for m, level in grown.items()]),
-        "prefixes": _all([opened.select("lang", "phrase", "n"), *[level.select("lang", "phrase", "n") for level in inner.values()]]),
-        "rests": written(_all(lookup)),
+        "prefixes": _all([opened.select("lang", "phrase", "n"), *[grown[m].select("lang", "phrase", "n") for m in inner]]),
+        "rests": _all(lookup),
         "longer": _all(longer) if longer else None,
     }
 
@@ -355,9 +406,13 @@ def _keyed(phrases: DataFrame) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.frombuffer(p, "<u8").astype(np.uint64) for p in batch.column("phrase").to_pylist()]
-            keys = [_keys(lang, row, np.zeros(1, np.int64), [None] * len(row))[1][0] for lang, row in zip(batch.column("lang").to_pylist(), rows, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], ["key"])
+            keys = []
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+                key = np.full(1, _language_key(lang))
+                for word in np.frombuffer(phrase, "<u8"):
+                    key = mixed(key ^ word)
+                keys.append(key.view(np.int64)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], ["key"])
 
     return phrases.distinct().mapInArrow(add, "key long")
 
@@ -398,10 +453,9 @@ def _cut(rows: DataFrame, best: int, order_by: list, place: Column) -> DataFrame
     return rows.drop("part")
 
 
-def _spelled(best: DataFrame, words: DataFrame) -> DataFrame:
+def _spelled(best: DataFrame, names: DataFrame) -> DataFrame:
     """Phrases as texts in place of hashes."""
     places = best.withColumn("size", F.length("phrase") / 8).withColumn("at", F.explode(F.expr("sequence(0, int(size) - 1)")))
-    names = words.select("lang", F.col("phrase").alias("one"), "word")
     spelled = places.withColumn("one", F.expr("substring(phrase, 8 * at + 1, 8)")).join(names, ["lang", "one"])
     ordered = F.array_sort(F.collect_list(F.struct("at", "word")))
     texts = spelled.groupBy("lang", "phrase").agg(F.array_join(F.transform(ordered, lambda x: x["word"]), " ").alias("text"))
