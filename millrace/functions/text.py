@@ -34,22 +34,21 @@ def required(column: Column, what: str) -> Column:
     return F.coalesce(column, F.raise_error(F.lit(f"{what} is null")))
 
 
-def split_words(text: Column) -> Column:
-    """The words of ``text`` in order, after putting one space before it."""
-    spaced = F.when((text == "") | text.startswith(" "), text).otherwise(
-        F.concat(F.lit(" "), text)
-    )
-    return F.regexp_extract_all(spaced, F.lit("(?U)" + WORD_PATTERN), F.lit(0))
+def split_words(text: Column, prefix_space: bool = True) -> Column:
+    """The words of ``text`` in order, after putting one space before it if ``prefix_space``."""
+    if prefix_space:
+        text = F.when((text == "") | text.startswith(" "), text).otherwise(F.concat(F.lit(" "), text))
+    return F.regexp_extract_all(text, F.lit("(?U)" + WORD_PATTERN), F.lit(0))
 
 
-def split_words_and_specials(text: Column, specials: Sequence[str]) -> Column:
+def split_words_and_specials(text: Column, specials: Sequence[str], prefix_space: bool = True) -> Column:
     """Like :func:`split_words`, keeping each special token as a word of its own.
 
     The stretches between special tokens are split separately, each with its own
     leading space. Texts without a special token skip the extra regex passes.
     """
     if not specials:
-        return split_words(text)
+        return split_words(text, prefix_space)
     pattern = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -57,14 +56,14 @@ def split_words_and_specials(text: Column, specials: Sequence[str]) -> Column:
         gaps,
         found,
         lambda gap, special: F.concat(
-            split_words(gap),
+            split_words(gap, prefix_space),
             F.when(special.isNull(), F.array().cast("array<string>")).otherwise(F.array(special)),
         ),
     )
     has_special = F.contains(text, F.lit(specials[0]))
     for special in specials[1:]:
         has_special = has_special | F.contains(text, F.lit(special))
-    return F.when(has_special, F.flatten(pieces)).otherwise(split_words(text))
+    return F.when(has_special, F.flatten(pieces)).otherwise(split_words(text, prefix_space))
 
 
 def utf8_as_latin1(text: Column) -> Column:

@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.merge import merge_symbols
 from millrace.functions.text import (
     BYTE_SYMBOLS,
-    latin1_as_utf8,
+    byte_symbols,
     required,
     split_words_and_specials,
 )
 from millrace.operators.bpe import MAX_VOCABULARY
-from millrace.session import cut_lineage
 
 # A vocabulary travels to the tasks whole; training can make none with more tokens.
 MAX_SHARED_VOCABULARY = MAX_VOCABULARY
-# Up to this many tokens one is written into the plan.
-MAX_INLINE_VOCABULARY = 131_072
 MAX_REMEMBERED_WORDS = 500_000
+# Characters in which the first words of a text are looked for, to each.
+CHARACTERS_PER_WORD = 8
 
 
 def encode(
-    df: DataFrame, key: str, text: str | Sequence[str], vocab: DataFrame, merges: DataFrame
+    df: DataFrame,
+    key: str,
+    text: str | Sequence[str],
+    vocab: DataFrame,
+    merges: DataFrame,
+    max_length: int | None = None,
+    prefix_space: bool = True,
 ) -> DataFrame:
     """``(key, ids)`` of every text; no row leaves its partition.
 
@@ -37,18 +43,20 @@ def encode(
     shuffled, so neither a frequent word nor a long text makes a hot key. Bytes
     that the vocabulary lacks are dropped. Given several text columns, the result
     has an id list under each of their names.
+
+    With ``max_length`` the lists hold the first so many ids of the texts. A text is
+    then split and sent to Python only as far as its head, wherever the vocabulary has
+    every byte of these words, so that each of them makes an id.
     """
     texts = [text] if isinstance(text, str) else list(text)
     names = ["key", "ids"] if isinstance(text, str) else ["key", *texts]
     ids, ranks, specials = _collect_vocabulary(vocab, merges)
     shared = df.sparkSession.sparkContext.broadcast((ids, ranks, frozenset(specials)))
-    words = df.select(
-        F.col(key).alias("key"),
-        *[
-            split_words_and_specials(required(F.col(t), t), specials).alias(name)
-            for t, name in zip(texts, names[1:])
-        ],
-    )
+    words = df.select(F.col(key).alias("key"), *[required(F.col(t), t).alias(n) for t, n in zip(texts, names[1:])])
+    if max_length is None:
+        words = words.select("key", *[split_words_and_specials(F.col(n), specials, prefix_space).alias(n) for n in names[1:]])
+    else:
+        words = _leading_words(words, names[1:], ids, specials, max_length, prefix_space)
     list_type = T.ArrayType(T.IntegerType(), False)
     schema = T.StructType(
         [words.schema["key"], *[T.StructField(name, list_type, False) for name in names[1:]]]
@@ -62,62 +70,80 @@ def encode(
             for words in batch.columns[1:]:
                 if len(known) > MAX_REMEMBERED_WORDS:
                     known.clear()
-                columns.append(_encode_lists(words, known, ids, ranks, specials))
+                columns.append(_encode_lists(words, known, ids, ranks, specials, max_length))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return words.mapInArrow(encode_batches, schema)
 
 
+def _leading_words(
+    texts: DataFrame, names: Sequence[str], ids: Mapping[str, int], specials: Sequence[str], n: int, prefix_space: bool
+) -> DataFrame:
+    """The words of every text, or its first ``n`` if each of these makes an id.
+
+    A cut through a text can change the word at the cut, and no more words in front of
+    it than a special token has characters; these are left out of the head.
+    """
+    enough = n + 1 + max(map(len, specials), default=0)
+    width = CHARACTERS_PER_WORD * enough
+    heads = texts.select(
+        "*", *[split_words_and_specials(F.substring(name, 1, width), specials, prefix_space).alias(f"_{name}") for name in names]
+    )
+    letters = "".join(symbol for symbol in BYTE_SYMBOLS if symbol in ids)
+    columns = []
+    for name in names:
+        head = F.slice(f"_{name}", 1, n)
+        known = F.lit(True)
+        if len(letters) < len(BYTE_SYMBOLS):
+            known = F.translate(byte_symbols(F.array_join(head, "")), letters, "") == ""
+        whole = split_words_and_specials(F.col(name), specials, prefix_space)
+        short = F.length(name) <= width
+        columns.append(
+            F.when(short, F.col(f"_{name}")).when((F.size(f"_{name}") >= enough) & known, head).otherwise(whole).alias(name)
+        )
+    return heads.select("key", *columns)
+
+
 def decode(
     df: DataFrame, ids: str, vocab: DataFrame, skip_special: bool = True, output: str = "text"
 ) -> DataFrame:
     """``df`` with the text of its id lists; ids outside the vocabulary read as nothing.
 
-    A vocabulary of the usual size is looked up in place. A bigger one is joined, to
-    ids that are put together again by a row number of their own.
+    Tasks have the vocabulary as one buffer of bytes with the place of every token in
+    it, and gather the bytes of a whole batch at once. Nothing is shuffled.
     """
     table = vocab.select("id", "token", "special")
     if skip_special:
         table = table.filter(~F.col("special"))
-    rows = table.limit(MAX_INLINE_VOCABULARY + 1).collect()
-    if len(rows) > MAX_INLINE_VOCABULARY or any(row.id >= MAX_INLINE_VOCABULARY for row in rows):
-        return _decode_by_join(df, ids, table, output)
-    spelled = [""] * (1 + max((row.id for row in rows), default=0))
-    for row in rows:
-        spelled[row.id] = _bytes_of(row.token)
-    # Spelled tokens are latin-1, so this character can part them; Spark folds the split.
-    lookup = F.split(F.lit("\u0100".join(spelled)), "\u0100")
-    pieces = F.transform(
-        F.col(ids), lambda i: F.when(i >= 0, F.try_element_at(lookup, i + 1))
-    )
-    return df.withColumn(output, latin1_as_utf8(F.array_join(pieces, "")))
-
-
-def _decode_by_join(df: DataFrame, ids: str, table: DataFrame, output: str) -> DataFrame:
-    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
-    used = rows.select("_row", F.posexplode(ids).alias("_pos", "id"))
-    texts = (
-        used.join(table, "id")
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_tokens"))
-        .select("_row", F.transform("_tokens", lambda t: _symbols_to_bytes(t["token"])).alias("_pieces"))
-    )
-    pieces = F.coalesce(F.array_join("_pieces", ""), F.lit(""))
-    return (
-        rows.join(texts, "_row", "left")
-        .withColumn(output, latin1_as_utf8(pieces))
-        .drop("_row", "_pieces")
-    )
-
-
-def _symbols_to_bytes(token: Column) -> Column:
-    """A token as one latin-1 character per byte; ``translate`` cannot make the byte 0."""
-    moved = [byte for byte in range(1, 256) if BYTE_SYMBOLS[byte] != chr(byte)]
-    symbols = "".join(BYTE_SYMBOLS[byte] for byte in moved)
-    bytes_text = F.translate(token, symbols, "".join(chr(byte) for byte in moved))
-    bytes_text = F.replace(bytes_text, F.lit(BYTE_SYMBOLS[0]), F.lit(chr(0)))
-    plain = F.translate(token, "".join(BYTE_SYMBOLS), "") == ""
-    return F.when(plain, bytes_text).otherwise(F.decode(F.encode(token, "UTF-8"), "ISO-8859-1"))
+    rows = sorted((row.id, _bytes_of(row.token)) for row in _collect_bounded(table, "vocabulary"))
+    known = np.fromiter((i for i, _ in rows), np.int64, len(rows))
+    ends = np.cumsum(np.fromiter((len(b) for _, b in rows), np.int64, len(rows)))
+    shared = df.sparkSession.sparkContext.broadcast((known, ends, b"".join(b for _, b in rows)))
+
+    @F.arrow_udf("binary")
+    def gathered(lists: pa.Array) -> pa.Array:
+        return _gather_bytes(lists, *shared.value)
+
+    return df.withColumn(output, F.make_valid_utf8(gathered(F.col(ids)).cast("string")))
+
+
+def _gather_bytes(lists: pa.ListArray, known: np.ndarray, ends: np.ndarray, data: bytes) -> pa.Array:
+    """The bytes of every list's tokens; a null list stays null."""
+    flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+    # One entry more, of no bytes, for ids that are not there.
+    starts = np.concatenate(([0], ends, ends[-1:] if len(ends) else [0]))
+    place = np.searchsorted(known, flat)
+    there = np.concatenate((known, [-1]))[place] == flat
+    place = np.where(there & (flat >= 0), place, len(known))
+    sizes = starts[place + 1] - starts[place]
+    upto = np.concatenate(([0], np.cumsum(sizes)))
+    within = np.arange(upto[-1]) - np.repeat(upto[:-1], sizes)
+    gathered = np.frombuffer(data, np.uint8)[np.repeat(starts[place], sizes) + within]
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    bounds = upto[np.concatenate(([0], np.cumsum(lengths)))]
+    buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(gathered)]
+    texts = pa.Array.from_buffers(pa.large_binary(), len(lists), buffers).cast(pa.binary())
+    return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.binary()))
 
 
 def check_ids(tokens: DataFrame, ids: str, vocab: DataFrame) -> DataFrame:
@@ -168,15 +194,17 @@ def _collect_vocabulary(vocab: DataFrame, merges: DataFrame):
     return ids, ranks, [row.token for row in rows if row.special]
 
 
-def _bytes_of(token: str) -> str:
-    """The bytes of a token as one latin-1 character each."""
-    byte_of = {symbol: chr(byte) for byte, symbol in enumerate(BYTE_SYMBOLS)}
-    if all(symbol in byte_of for symbol in token):
-        return "".join(byte_of[symbol] for symbol in token)
-    return token.encode("utf-8").decode("latin-1")
+_BYTE_OF = {symbol: byte for byte, symbol in enumerate(BYTE_SYMBOLS)}
 
 
-def _encode_lists(lists: pa.ListArray, known, ids, ranks, specials) -> pa.ListArray:
+def _bytes_of(token: str) -> bytes:
+    """The bytes of a token: what its symbols stand for, or its own text where they are others."""
+    if all(symbol in _BYTE_OF for symbol in token):
+        return bytes(_BYTE_OF[symbol] for symbol in token)
+    return token.encode("utf-8")
+
+
+def _encode_lists(lists: pa.ListArray, known, ids, ranks, specials, max_length: int | None) -> pa.ListArray:
     """Encode the words of every list, looking each distinct word up once."""
     words = lists.flatten().dictionary_encode()
     encoded = []
@@ -191,12 +219,17 @@ def _encode_lists(lists: pa.ListArray, known, ids, ranks, specials) -> pa.ListAr
     values = np.fromiter((i for e in encoded for i in e), np.int32, int(starts[-1]))
     place = words.indices.to_numpy(zero_copy_only=False)
     counts = sizes[place]
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    firsts = np.concatenate(([0], np.cumsum(lengths)))
+    if max_length is not None:
+        # Ids of the list in front of each word; what goes beyond is never gathered.
+        before = np.concatenate(([0], np.cumsum(counts)))
+        before = before[:-1] - np.repeat(before[firsts[:-1]], lengths)
+        counts = np.clip(max_length - before, 0, counts)
     ends = np.concatenate(([0], np.cumsum(counts)))
     within = np.arange(ends[-1]) - np.repeat(ends[:-1], counts)
     flat = values[np.repeat(starts[:-1][place], counts) + within]
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-    bounds = ends[np.concatenate(([0], np.cumsum(lengths)))]
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(ends[firsts], pa.int32()), pa.array(flat, pa.int32()))
 
 
 def _encode_word(word: str, ids, ranks) -> list[int]:

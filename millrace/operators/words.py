@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from millrace.functions.text import byte_symbols, required, split_words
 
 
-def pretokenize(df: DataFrame, key: str, text: str) -> DataFrame:
+def pretokenize(df: DataFrame, key: str, text: str, prefix_space: bool = True) -> DataFrame:
     """One row ``(key, pos, word)`` per word of every text."""
     return df.select(
         F.col(key).alias("key"),
-        F.posexplode(split_words(required(F.col(text), text))).alias("pos", "word"),
+        F.posexplode(split_words(required(F.col(text), text), prefix_space)).alias("pos", "word"),
     )
 
 
-def corpus_words(df: DataFrame, text: str) -> DataFrame:
+def corpus_words(df: DataFrame, text: str, prefix_space: bool = True) -> DataFrame:
     """The words of every text without their place: all that counting needs."""
-    return df.select(F.explode(split_words(required(F.col(text), text))).alias("word"))
+    return df.select(F.explode(split_words(required(F.col(text), text), prefix_space)).alias("word"))
 
 
 def word_counts(words: DataFrame) -> DataFrame:

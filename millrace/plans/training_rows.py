@@ -17,7 +17,6 @@ from millrace.functions.sequences import (
     attention_mask,
     causal_labels,
     pad,
-    truncate,
 )
 from millrace.operators.batches import assign_batches, epoch_order, pad_lists_to_batch_max
 from millrace.operators.bpe import Vocabulary, train_bpe
@@ -44,8 +43,7 @@ def causal_rows(
     texts: DataFrame, key: str, vocabulary: Vocabulary, pad_id: int, max_length: int = 512
 ) -> DataFrame:
     """``(key, input_ids, attention_mask, labels)`` from ``(key, text)``."""
-    ids = encode(texts, key, "text", vocabulary.vocab, vocabulary.merges)
-    head = ids.select(F.col("key").alias(key), truncate(F.col("ids"), max_length).alias("ids"))
+    head = encode(texts, key, "text", vocabulary.vocab, vocabulary.merges, max_length).withColumnRenamed("key", key)
     padded = pad(F.col("ids"), max_length, pad_id)
     return head.select(
         key,

@@ -1,6 +1,7 @@
 import pytest
 from conftest import library_tokenizer
 
+from millrace.functions.text import BYTE_SYMBOLS
 from millrace.operators import encode as module
 from millrace.operators.encode import check_ids, decode, encode, resolve_specials
 from millrace.operators.words import corpus_words, word_counts
@@ -65,21 +66,41 @@ def test_decode_like_library(spark):
         assert got == expected
 
 
-def test_big_vocabularies_decode_by_join(spark, learned, monkeypatch):
-    cases = [[16, 0, 11], [11, 999, 16], [], [16] * 5, [-100]]
-    table = spark.createDataFrame(list(enumerate(cases)), "key BIGINT, ids ARRAY<INT>")
-    expected = [r.text for r in decode(table, "ids", learned.vocab).orderBy("key").collect()]
-    monkeypatch.setattr(module, "MAX_INLINE_VOCABULARY", 3)
-    got = decode(table, "ids", learned.vocab).orderBy("key")
-    assert [r.text for r in got.collect()] == expected
-
-
-def test_other_characters_in_specials(spark, monkeypatch):
-    vocab = spark.createDataFrame([(0, "<｜s｜>", True), (1, "hé", False)], "id INT, token STRING, special BOOLEAN")
-    table = spark.createDataFrame([([0, 1],)], "ids ARRAY<INT>")
-    small = decode(table, "ids", vocab, skip_special=False).first().text
-    monkeypatch.setattr(module, "MAX_INLINE_VOCABULARY", 1)
-    assert small.startswith("<｜s｜>h") and decode(table, "ids", vocab, skip_special=False).first().text == small
+def test_big_vocabularies_and_other_characters(spark):
+    """Ids far apart, more tokens than any plan could list, specials beyond the byte symbols, nulls."""
+    tokens = [(3 * i, f"t{i}", False) for i in range(140_000)]
+    vocab = spark.createDataFrame([*tokens, (1, "<｜s｜>", True), (4, "hé", False)], "id INT, token STRING, special BOOLEAN")
+    cases = [[1, 4, 3], [3 * 139_999, 2, -3], [], None, [0, None, 6], [3 * 140_000]]
+    table = spark.createDataFrame([(k, c) for k, c in enumerate(cases)], "key INT, ids ARRAY<INT>")
+    got = {skip: [r.text for r in decode(table, "ids", vocab, skip).orderBy("key").collect()] for skip in (True, False)}
+    assert got[False] == ["<｜s｜>h\ufffdt1", "t139999", "", None, "t0t2", ""]
+    assert got[True] == ["h\ufffdt1", "t139999", "", None, "t0t2", ""]
+    assert decode(table, "ids", vocab.limit(0)).orderBy("key").first().text == ""
+
+
+LONG = ["hello world " * 90, "hello é中 zz " * 200, "é" * 3000 + " hello", "a<s>hello</s>" * 120, "   hello\n\n  world" * 150, "</s" * 700, "hello's " * 300, "", "w"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 64])
+@pytest.mark.parametrize("width", [1, 8])
+def test_the_first_ids_are_those_of_the_whole_text(spark, learned, monkeypatch, n, width):
+    """Also where bytes are unknown, special tokens are cut, or the head has too few words."""
+    monkeypatch.setattr(module, "CHARACTERS_PER_WORD", width)
+    rows = spark.createDataFrame(list(enumerate(LONG)), "key BIGINT, text STRING")
+    head = encode(rows, "key", "text", learned.vocab, learned.merges, max_length=n)
+    whole = encode(rows, "key", "text", learned.vocab, learned.merges)
+    assert [r.ids for r in head.orderBy("key").collect()] == [r.ids[:n] for r in whole.orderBy("key").collect()]
+
+
+def test_heads_are_all_that_tasks_see(spark, learned):
+    """With every byte in the vocabulary, words beyond the limit never reach Python."""
+    letters = [(100 + k, s, False) for k, s in enumerate(BYTE_SYMBOLS) if s not in "dehlorwĠ"]
+    vocab = learned.vocab.union(spark.createDataFrame(letters, learned.vocab.schema))
+    rows = spark.createDataFrame([(0, "held low " * 100_000)], "key BIGINT, text STRING")
+    ids, _, specials = module._collect_vocabulary(vocab, learned.merges)
+    words = module._leading_words(rows, ["text"], ids, specials, 16, True)
+    assert words.selectExpr("size(text)").first()[0] == 16
+    assert len(encode(rows, "key", "text", vocab, learned.merges, 16).first().ids) == 16
 
 
 def test_check_ids(spark, learned):
