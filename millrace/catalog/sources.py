@@ -16,7 +16,7 @@ from millrace.operators.encode import check_ids, resolve_specials
 from millrace.session import checkpoint_dir
 from millrace.sources.jsonl import count_examples, limit_examples, read_jsonl
 from millrace.sources.stages import keep_latest, materialize_stage
-from millrace.sources.vocabulary import read_vocab, write_vocab
+from millrace.sources.vocabulary import read_tokenizer, read_vocab, write_tokenizer, write_vocab
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -39,7 +39,7 @@ def limit_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def limit_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """More rows than the table has, so the cut by key is what runs."""
+    """More rows than the table has, which stays as it is."""
     return limit_examples(_orders(spark, sf_dir), 10_000_000, ["o_orderkey"], "clamp")
 
 
@@ -47,6 +47,22 @@ def limit_clamp_zero_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limit_examples(_orders(spark, sf_dir), 0, ["o_orderkey"], "clamp_zero_all")
 
 
+def limit_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return limit_examples(_orders(spark, sf_dir), 1234, ["o_orderdate", "o_orderkey"], "strict")
+
+
+def limit_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fifths of the orders have no price to order by, and stand first."""
+    priced = _orders(spark, sf_dir).withColumn("price", F.expr("case when o_orderkey % 5 > 1 then o_totalprice end"))
+    return limit_examples(priced, 1400, ["price", "o_orderkey"], "clamp").select("o_orderkey")
+
+
+def limit_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are alike but for their number, of which a limit takes as many from each day."""
+    days = _orders(spark, sf_dir).select("o_orderdate", F.lit("order").alias("kind"))
+    return limit_examples(days, 1100, ["o_orderdate"])
+
+
 def count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_examples(t.table(spark, sf_dir, "documents", ["doc_id"]))
 
@@ -58,6 +74,19 @@ def vocab_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_vocab(spark, path).vocab
 
 
+def tokenizer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token of the document that was written, with the merge that makes it (rank -1: none)."""
+    path = _folder(spark, "tokenizer")
+    learned = small_vocabulary(t.documents(spark, sf_dir))
+    write_tokenizer(learned.vocab, learned.merges, path)
+    again = read_tokenizer(spark, path)
+    made = again.merges.withColumn("token", F.concat("left", "right"))
+    return again.vocab.join(made, "token", "left").select(
+        "id", "token", "special", F.coalesce("rank", F.lit(-1)).alias("rank"),
+        F.coalesce("left", F.lit("")).alias("left"), F.coalesce("right", F.lit("")).alias("right"),
+    )
+
+
 def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second call finds the first one's rows."""
     path = _folder(spark, "stage")
@@ -138,12 +167,27 @@ QUERIES = {
     "s2_limit_strict": (limit_strict, f"{_ORDERS} ORDER BY o_orderkey LIMIT 1000"),
     "s2_limit_clamp": (limit_clamp, f"{_ORDERS} ORDER BY o_orderkey LIMIT 10000000"),
     "s2_limit_clamp_zero_all": (limit_clamp_zero_all, _ORDERS),
+    "s2_limit_cut": (limit_cut, f"{_ORDERS} ORDER BY o_orderdate, o_orderkey LIMIT 1234"),
+    "s2_limit_null_keys": (
+        limit_null_keys,
+        "SELECT o_orderkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 1 THEN o_totalprice END AS price FROM orders) "
+        "ORDER BY price NULLS FIRST, o_orderkey LIMIT 1400",
+    ),
+    "s2_limit_ties": (
+        limit_ties, "SELECT o_orderdate, 'order' AS kind FROM orders ORDER BY o_orderdate LIMIT 1100",
+    ),
     "s3_count_examples": (count, "SELECT count(*) AS examples FROM documents"),
     "s5_vocab_round_trip": (
         vocab_round_trip,
         f"WITH {q.bpe('SELECT text FROM documents', MERGES)} SELECT id, token, FALSE AS special FROM tokens "
         "UNION ALL SELECT * FROM (VALUES (0, '<s>', TRUE), (1, '</s>', TRUE), (2, '<pad>', TRUE), (3, '<unk>', TRUE))",
     ),
+    "s5_tokenizer_json_round_trip": (
+        tokenizer_round_trip,
+        f"WITH {q.bpe('SELECT text FROM documents', MERGES)} "
+        "SELECT id, token, FALSE AS special, coalesce(rank, -1) AS rank, coalesce(l, '') AS \"left\", coalesce(r, '') AS \"right\" FROM tokens "
+        "UNION ALL SELECT *, -1, '', '' FROM (VALUES (0, '<s>', TRUE), (1, '</s>', TRUE), (2, '<pad>', TRUE), (3, '<unk>', TRUE))",
+    ),
     "s6_materialize_stage": (
         stage, "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem",
     ),

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from millrace.session import cut_lineage, spread
 
 LIMIT_POLICIES = ("strict", "clamp", "clamp_zero_all")
-# Up to this many rows Spark cuts every task's rows down before a ranked window.
-MAX_TOP_ROWS = 1_000
-TASKS_PER_GROUP = 1_000
+# Keys that part the rows in one pass, and rows of which each key is counted.
+SPLITS = 63
+FEW_ROWS = 100_000
 
 
 def read_jsonl(
@@ -32,11 +32,14 @@ def read_jsonl(
 def limit_examples(
     df: DataFrame, n: int | None, order_by: Sequence[str], policy: str = "strict"
 ) -> DataFrame:
-    """The first ``n`` rows by ``order_by``, whose values must tell rows apart.
+    """The first ``n`` rows by ``order_by``, nulls first; ties are settled by the other columns.
 
     ``strict`` fails if there are fewer rows, ``clamp`` takes what is there, and
-    ``clamp_zero_all`` does too but reads 0 as no limit. None is never a limit. A
-    large limit sorts the keys alone, by ranges, and cuts the table at the last one.
+    ``clamp_zero_all`` does too but reads 0 as no limit. None is never a limit.
+
+    Nothing is sorted or shuffled: the ``n``-th key is found by counting rows between
+    sampled keys, and the result is the table with a filter on its keys, whatever
+    ``n`` is. A table that is no longer than ``n`` is returned as it is.
     """
     if policy not in LIMIT_POLICIES:
         raise ValueError(f"policy must be one of {LIMIT_POLICIES}")
@@ -44,46 +47,76 @@ def limit_examples(
         return df
     if n <= 0:
         return df.limit(0)
-    keys = df.select(*order_by)
-    if policy == "strict":
-        found = len(keys.head(n)) if n <= MAX_TOP_ROWS else keys.count()
-        if found < n:
+    last, below, tied = nth_key(df.select(*order_by), n)
+    if last is None:
+        if policy == "strict" and below < n:
             raise ValueError(f"fewer than {n} examples")
-    if n <= MAX_TOP_ROWS:
-        return _first_rows(df, n, order_by)
-    last = positions(keys, order_by).filter(F.col("pos") == n - 1).collect()
-    if not last:
         return df
-    *leading, final = order_by
-    end = last[0]
-    within = _below(final, end[final]) | F.col(final).eqNullSafe(F.lit(end[final]))
-    for column in reversed(leading):
-        within = _below(column, end[column]) | (F.col(column).eqNullSafe(F.lit(end[column])) & within)
-    return df.filter(within)
-
-
-def _below(column: str, value: object) -> Column:
-    """Whether a column sorts before ``value``; nulls sort before everything."""
-    if value is None:
-        return F.lit(False)
-    return F.col(column).isNull() | (F.col(column) < F.lit(value))
-
-
-def _first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first rows of every task, of every group of tasks, and of all groups.
-
-    Without the groups, one task would sort the first rows of all the others.
+    key, end = _row(order_by), _literal(df, order_by, last)
+    if below + tied == n:
+        return df.filter(key <= end)
+    first, ties = df.filter(key < end), df.filter(key == end)
+    others = [c for c in df.columns if c not in order_by]
+    if not others:
+        return first.unionByName(ties.limit(n - below))
+    # Rows of equal keys go by a hash of the rest; those equal in that too are the same row again.
+    order = F.xxhash64(*[F.to_json(F.struct(c)) if isinstance(df.schema[c].dataType, MapType) else F.col(c) for c in others])
+    ties = ties.withColumn("_order", order)
+    last, within, same = nth_key(ties.select("_order"), n - below)
+    end = F.lit(last["_order"])
+    kept = ties.filter(F.col("_order") < end).unionByName(ties.filter(F.col("_order") == end).limit(n - below - within))
+    kept = ties.filter(F.col("_order") <= end) if below + within + same == n else kept
+    return first.unionByName(kept.drop("_order"))
+
+
+def nth_key(keys: DataFrame, n: int) -> tuple[Row | None, int, int]:
+    """The ``n``-th smallest row, the number of rows before it, and of those equal to it.
+
+    Without so many rows the first is None, and the second is their number; so it is
+    with just as many, which leave nothing to cut.
+
+    Every pass samples a few keys and counts the rows at and between them; partial
+    counts are all that is shuffled. It goes on between the two keys around the
+    ``n``-th row, until the distinct keys there are few enough to be counted each. A
+    key with very many rows soon is one of the samples, and then is found as such.
     """
-    group = F.floor(F.spark_partition_id() / TASKS_PER_GROUP)
-    order = Window.partitionBy("_group").orderBy(*order_by)
-    return (
-        df.withColumn("_group", group)
-        .withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") <= n)
-        .drop("_group", "_place")
-        .orderBy(*order_by)
-        .limit(n)
-    )
+    columns = keys.columns
+    key, before, rows, first = _row(columns), 0, keys, True
+    while True:
+        sample = rows.orderBy(F.rand(7)).limit(SPLITS).distinct().orderBy(*columns).collect()
+        if not sample:
+            return None, before, 0
+        ends = F.array(*[_literal(keys, columns, row) for row in sample])
+        # Even places are between the keys, odd ones at them.
+        place = F.size(F.filter(ends, lambda e: e < key)) + F.size(F.filter(ends, lambda e: e <= key))
+        counts = {row.place: row["count"] for row in rows.groupBy(place.alias("place")).count().collect()}
+        if first and sum(counts.values()) <= n:
+            return None, sum(counts.values()), 0
+        first = False
+        for place in sorted(counts):
+            if before + counts[place] >= n:
+                break
+            before += counts[place]
+        if place % 2:
+            return sample[place // 2], before, counts[place]
+        if place > 0:
+            rows = rows.filter(key > _literal(keys, columns, sample[place // 2 - 1]))
+        if place < 2 * len(sample):
+            rows = rows.filter(key < _literal(keys, columns, sample[place // 2]))
+        if counts[place] <= FEW_ROWS:
+            # Few rows by now, in one window.
+            upto = F.sum("count").over(Window.orderBy(*columns))
+            found = rows.groupBy(*columns).count().withColumn("upto", upto).filter(F.col("upto") >= n - before).orderBy("upto").first()
+            return Row(**{c: found[c] for c in columns}), before + found["upto"] - found["count"], found["count"]
+
+
+def _row(columns: Sequence[str]) -> Column:
+    """Columns as one value that compares like rows in an order, nulls before everything."""
+    return F.struct(*[F.col(c) for c in columns])
+
+
+def _literal(df: DataFrame, columns: Sequence[str], row: Row) -> Column:
+    return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in columns])
 
 
 def positions(df: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:

@@ -33,21 +33,45 @@ def test_limit_policies(spark):
         limit_examples(rows, 1, ["id"], "other")
 
 
-def test_large_limits_cut_by_key(spark, monkeypatch):
-    monkeypatch.setattr(jsonl, "MAX_TOP_ROWS", 5)
+@pytest.fixture
+def few(monkeypatch):
+    """Passes go on until a handful of rows is left."""
+    monkeypatch.setattr(jsonl, "SPLITS", 5)
+    monkeypatch.setattr(jsonl, "FEW_ROWS", 4)
+
+
+@pytest.mark.parametrize("n", [1, 2, 99, 333, 999, 1000, 5000])
+def test_limits_cut_by_key(spark, few, n):
     rows = spark.range(0, 1000, 1, 6).select("id", (F.col("id") % 10).alias("b")).orderBy(F.rand(1))
-    cut = limit_examples(rows, 333, ["b", "id"])
-    expected = sorted(range(1000), key=lambda i: (i % 10, i))[:333]
-    assert keys(cut) == sorted(expected)
-    assert keys(limit_examples(rows, 5000, ["id"], "clamp")) == list(range(1000))
-
-
-def test_large_limits_keep_null_keys(spark):
-    rows = [(None if k < 1_200 else k % 7, k) for k in range(3_000)]
-    table = spark.createDataFrame(rows, "a INT, b INT")
-    for n in (1_000, 1_100, 1_500, 2_999, 5_000):
-        expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:n]
-        assert sorted(r.b for r in limit_examples(table, n, ["a", "b"], "clamp").collect()) == sorted(b for _, b in expected)
+    expected = sorted(range(1000), key=lambda i: (i % 10, i))[:n]
+    assert keys(limit_examples(rows, n, ["b", "id"], "clamp")) == sorted(expected)
+
+
+def test_limits_keep_null_keys(spark, few):
+    rows = [(None if k < 1_200 else k % 7, float("nan") if k == 9 else k / 2, k) for k in range(3_000)]
+    table = spark.createDataFrame(rows, "a INT, x DOUBLE, b INT")
+    for n in (1, 1_100, 1_200, 2_999, 5_000):
+        expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] != r[1], r[1]))[:n]
+        assert sorted(r.b for r in limit_examples(table, n, ["a", "x"], "clamp").collect()) == sorted(r[2] for r in expected)
+
+
+@pytest.mark.parametrize("n", [1, 400, 700, 1_000, 1_399])
+def test_ties_are_settled(spark, few, n):
+    """A third of the rows has one key, and repeats of one row are cut within themselves."""
+    rows = [(k, "x") for k in range(500)] + [(77, f"t{k}") for k in range(300)] + [(77, "same")] * 600
+    table = spark.createDataFrame(rows, "a INT, t STRING").withColumn("m", F.create_map(F.lit("k"), F.col("t")))
+    kept = [(r.a, r.t) for r in limit_examples(table, n, ["a"]).collect()]
+    assert len(kept) == n and sorted(a for a, _ in kept) == sorted(a for a, _ in rows)[:n]
+    again = [(r.a, r.t) for r in limit_examples(table.repartition(13), n, ["a"]).collect()]
+    assert sorted(again) == sorted(kept)
+    assert limit_examples(table.select("a"), n, ["a"]).count() == n
+
+
+def test_limits_add_no_shuffle(spark):
+    rows = spark.range(0, 10_000, 1, 6)
+    for n in (5, 9_000):
+        plan = limit_examples(rows, n, ["id"])._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
 
 
 def test_positions(spark):
