@@ -122,7 +122,8 @@ QUERIES = {
         chosen_tokens,
         f"{_SCORES}, {q.ALLOWED}, probs AS ({q.softmax('allowed', 0.7)}), best AS ({q.best('probs', 10)}), "
         f"scaled AS ({q.rescaled('best')}), likely AS ({q.nucleus('scaled', 0.9)}), "
-        f"final AS ({q.rescaled('likely')}) {q.drawn('final', 5)}",
+        f"final AS ({q.rescaled('likely')}), chosen AS ({q.drawn('final', 5)}) "
+        "SELECT context_id, token_id FROM contexts LEFT JOIN chosen USING (context_id)",
     ),
     "g7_bigram_model": (model, f"WITH {q.DOCUMENT_PAIRS} SELECT prev, next, n, prev_n FROM model"),
     "g7_score_sequences": (

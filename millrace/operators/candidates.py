@@ -1,7 +1,9 @@
 """Choosing a next token from scored candidates.
 
 Tables are ``(context_id, token_id, score)`` with each token once per context, so
-the largest group of a window is one vocabulary.
+the largest group of a window is one vocabulary. Probabilities are summed as whole
+numbers of small units: sums of numbers with fractions depend on the order of rows,
+and that on how the table is dealt out.
 """
 
 from __future__ import annotations
@@ -10,6 +12,14 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
+# Units that make up 1; a vocabulary's sum stays within 63 bits.
+UNITS = 1 << 40
+
+
+def _units(share: Column) -> Column:
+    return F.round(share * float(UNITS)).cast("long")
+
+
 def _context() -> WindowSpec:
     return Window.partitionBy("context_id")
 
@@ -40,8 +50,11 @@ def softmax(scores: DataFrame, temperature: float = 0.7) -> DataFrame:
 
 
 def renormalize(probs: DataFrame) -> DataFrame:
-    """``prob`` scaled to sum to 1 in every context."""
-    return probs.withColumn("prob", F.col("prob") / F.sum("prob").over(_context()))
+    """``prob`` scaled to sum to 1 in every context, in units of its greatest."""
+    top = F.max("prob").over(_context())
+    units = F.sum(_units(F.col("prob") / F.col("_top"))).over(_context())
+    scaled = F.col("prob") / (F.col("_top") * units / float(UNITS))
+    return probs.withColumn("_top", top).withColumn("prob", scaled).drop("_top")
 
 
 def top_k(candidates: DataFrame, k: int = 50, by: str = "score") -> DataFrame:
@@ -53,10 +66,10 @@ def top_k(candidates: DataFrame, k: int = 50, by: str = "score") -> DataFrame:
 def top_p(probs: DataFrame, p: float = 0.95) -> DataFrame:
     """The most likely tokens up to and with the one that brings their sum to ``p``."""
     earlier = _context().orderBy(F.desc("prob"), "token_id").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("prob").over(earlier), F.lit(0.0))
+    before = F.coalesce(F.sum(_units(F.col("prob"))).over(earlier), F.lit(0))
     return (
         probs.withColumn("_before", before)
-        .filter((F.col("_before") < p) | (F.col("_before") == 0))
+        .filter((F.col("_before") < round(p * UNITS)) | (F.col("_before") == 0))
         .drop("_before")
     )
 
@@ -70,7 +83,7 @@ def uniform(seed: int, context_id: Column) -> Column:
 def sample(probs: DataFrame, seed: int) -> DataFrame:
     """``(context_id, token_id)``: one seeded draw per context."""
     running = _context().orderBy(F.desc("prob"), "token_id").rowsBetween(Window.unboundedPreceding, 0)
-    drawn = probs.withColumn("_upto", F.sum("prob").over(running)).withColumn(
+    drawn = probs.withColumn("_upto", F.sum(_units(F.col("prob"))).over(running)).withColumn(
         "_all", F.max("_upto").over(_context())
     )
     return (

@@ -134,7 +134,11 @@ def next_tokens(
     k: int = 50,
     p: float = 0.95,
 ) -> DataFrame:
-    """``(context_id, token_id)``: one drawn token per context, no bigram repeated."""
+    """``(context_id, token_id)``: one drawn token per context, no bigram repeated.
+
+    A context without candidates, or with none that is allowed, has a null token.
+    """
     allowed = ban_repeat_bigrams(scores, contexts)
     likely = top_p(renormalize(top_k(softmax(allowed, temperature), k)), p)
-    return sample(renormalize(likely), seed)
+    drawn = sample(renormalize(likely), seed)
+    return contexts.select("context_id").join(drawn, "context_id", "left")

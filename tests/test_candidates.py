@@ -60,6 +60,36 @@ def test_chain_only_draws_what_every_filter_keeps(spark):
     assert len(drawn) == 50 and drawn <= allowed
 
 
+def test_draws_do_not_depend_on_partitions(spark):
+    """Many near ties, so that a sum in another order would draw or keep other tokens."""
+    rng = random.Random(9)
+    rows = [(c, t, rng.choice((0.1, 0.2, 0.3, 1 / 3)) + rng.random() * 1e-15) for c in range(200) for t in range(90)]
+    contexts = spark.createDataFrame([(c, [c % 90, 1, c % 90]) for c in range(200)], "context_id BIGINT, ids ARRAY<INT>")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in (1, 7, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            scores = table(spark, rng.sample(rows, len(rows))).repartition(n)
+            kept = top_p(softmax(scores, 0.7), 0.5)
+            results.append((sorted(kept.collect()), sorted(next_tokens(scores, contexts, 3, 0.7, 60, 0.5).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] == results[2]
+
+
+def test_contexts_without_candidates_have_a_null(spark):
+    contexts = spark.createDataFrame([(1, [5, 7, 5]), (2, [4]), (3, [5])], "context_id BIGINT, ids ARRAY<INT>")
+    drawn = next_tokens(table(spark, [(1, 7, 0.0), (3, 7, 0.0)]), contexts, 1)
+    assert {tuple(r) for r in drawn.collect()} == {(1, None), (2, None), (3, 7)}
+
+
+def test_small_shares_keep_their_digits(spark):
+    probs = spark.createDataFrame([(1, t, 1e-9 * (t + 1)) for t in range(4)], "context_id BIGINT, token_id INT, prob DOUBLE")
+    scaled = {r.token_id: r.prob for r in renormalize(probs).collect()}
+    assert all(abs(scaled[t] - (t + 1) / 10) < 1e-11 for t in range(4))
+
+
 def test_bigram_likelihood(spark):
     model = bigram_model(spark.createDataFrame([([1, 2, 1, 2],), ([2],), ([],)], "ids ARRAY<INT>"))
     assert {tuple(r) for r in model.collect()} == {(1, 2, 2, 2), (2, 1, 1, 1)}
