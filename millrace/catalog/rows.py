@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.catalog import fragments as q
 from millrace.catalog import tables as t
-from millrace.catalog.vocabulary import MERGES, small_vocabulary
+from millrace.catalog.vocabulary import MERGES, full_vocabulary, small_vocabulary
 from millrace.functions.render import ChatTemplate, render_human_assistant, render_role_prefix
 from millrace.functions.sequences import (
     add_special,
@@ -21,8 +23,10 @@ from millrace.operators.batches import (
     assign_batches,
     epoch_order,
     pad_to_batch_max,
+    read_rank,
     run_plan,
     run_points,
+    write_ranks,
 )
 from millrace.operators.conversations import preference_pairs, select_text
 from millrace.operators.preference import preference_tokens
@@ -32,8 +36,12 @@ from millrace.plans.training_rows import (
     fine_tuning_rows,
     preference_batches,
     preference_rows,
+    pretrain_batches,
     pretrain_rows,
+    special_ids,
 )
+from millrace.session import checkpoint_dir
+from millrace.sources.jsonl import read_jsonl
 
 # The space between words serves as pad id where pad and content must meet.
 SPACE, NEWLINE, PAD = 32, 10, 2
@@ -153,6 +161,51 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(preference_rows(rows, "conv_id", learned, ChatTemplate()))
 
 
+def full_pretraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(pretrain_rows(t.documents(spark, sf_dir), "doc_id", full_vocabulary(spark, sf_dir), PAD, LENGTH))
+
+
+def full_fine_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(fine_tuning_rows(t.conversations(spark, sf_dir), "conv_id", full_vocabulary(spark, sf_dir), PAD, LENGTH))
+
+
+def full_adapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(adapter_rows(t.conversations(spark, sf_dir), "conv_id", full_vocabulary(spark, sf_dir), PAD, LENGTH))
+
+
+def full_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(preference_rows(t.preferences(spark, sf_dir), "conv_id", full_vocabulary(spark, sf_dir), ChatTemplate()))
+
+
+#: Examples of a trial run.
+TRIAL = 1000
+
+
+def trial_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of JSON to batches, with a start token, and the end token for padding."""
+    path = f"{checkpoint_dir(spark)}/examples-{uuid4().hex}"
+    t.table(spark, sf_dir, "documents", ["doc_id", "text"]).write.json(path)
+    examples = read_jsonl(spark, path, "doc_id BIGINT, text STRING")
+    learned = small_vocabulary(t.documents(spark, sf_dir))
+    settings = spark.createDataFrame([("<s>", "</s>", None, "<unk>")], "bos STRING, eos STRING, pad STRING, unk STRING")
+    specials = special_ids(settings, learned.vocab)
+    rows = pretrain_batches(examples, "doc_id", learned, specials, TRIAL, LENGTH, 2, 17, 2, 16, 2)
+    lists = ["input_ids", "attention_mask", "labels"]
+    return rows.select("epoch", "doc_id", "pos", "rank", "micro", "step", *[t.joined(c) for c in lists])
+
+
+def rank_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as two ranks read them, with the row before in the same file."""
+    path = f"{checkpoint_dir(spark)}/ranks-{uuid4().hex}"
+    laid_out = assign_batches(epoch_order(t.table(spark, sf_dir, "orders", ["o_orderkey"]), "o_orderkey", 1, 42), 4, 8, 3)
+    write_ranks(laid_out, path)
+    both = read_rank(spark, path, 0).union(read_rank(spark, path, 2))
+    files = both.select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id"))
+    before = F.lag("pos").over(Window.partitionBy("file").orderBy("id"))
+    ordered = F.coalesce(before < F.col("pos"), F.lit(True))
+    return files.select("rank", "epoch", "key", "pos", "micro", "step", ordered.alias("in_order"))
+
+
 _BYTES = f"bytes AS (SELECT doc_id, {q.byte_list('text')} AS ids FROM documents)"
 _EPOCHS = q.epoch_rows("orders", "o_orderkey", 3, 42)
 _BATCHES = q.batch_rows(_EPOCHS, 4, 8, 3)
@@ -299,6 +352,24 @@ QUERIES = {
         f"WITH {q.bpe('SELECT text FROM documents', MERGES)}, "
         f"{q.encoded('e', 'SELECT doc_id, text FROM documents', 'doc_id')} SELECT doc_id, {_CAUSAL} FROM e",
     ),
+    "pretrain_rows_6400": (full_pretraining, None),
+    "sft_rows_6400": (full_fine_tuning, None),
+    "lora_rows_6400": (full_adapters, None),
+    "dpo_rows_6400": (full_preferences, None),
+    "pretrain_batches": (
+        trial_batches,
+        f"WITH {q.bpe('SELECT text FROM documents', MERGES)}, "
+        f"picked AS (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT {TRIAL}), "
+        f"{q.encoded('e', 'SELECT doc_id, text FROM picked', 'doc_id')}, "
+        "started AS (SELECT doc_id, list_concat([0], ids) AS ids FROM e), "
+        f"laid_out AS ({q.batch_rows(q.epoch_rows('picked', 'doc_id', 2, 17), 2, 16, 2)}) "
+        f"SELECT epoch, doc_id, pos, rank, micro, step, {q.causal('ids', LENGTH, 1)} FROM started JOIN laid_out ON key = doc_id",
+    ),
+    "b2_rank_files": (
+        rank_files,
+        f"SELECT rank, epoch, key, pos, micro, step, TRUE AS in_order FROM "
+        f"({q.batch_rows(q.epoch_rows('orders', 'o_orderkey', 1, 42), 4, 8, 3)}) WHERE rank IN (0, 2)",
+    ),
     "sft_rows": (
         fine_tuning,
         f"WITH {q.bpe(_CONVERSATION_TEXTS, MERGES)}, {q.encoded('e', _CONVERSATION_TEXTS, 'conv_id')} "

@@ -14,7 +14,7 @@ from millrace.functions.render import render_role_prefix
 from millrace.operators.conversations import select_text
 from millrace.operators.encode import check_ids, resolve_specials
 from millrace.session import checkpoint_dir
-from millrace.sources.jsonl import count_examples, limit_examples, read_jsonl
+from millrace.sources.jsonl import count_examples, limit_examples, read_jsonl, read_jsonl_quarantine
 from millrace.sources.stages import keep_latest, materialize_stage
 from millrace.sources.vocabulary import read_tokenizer, read_vocab, write_tokenizer, write_vocab
 
@@ -30,6 +30,18 @@ def jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_jsonl(spark, path, source.schema)
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some break off and some have no text: how many of each, and how many are good."""
+    path = _folder(spark, "lines")
+    source = t.table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+    line = F.to_json(F.struct("doc_id", F.expr("case when doc_id % 10 <> 7 then text end").alias("text"), "n_chars"))
+    cut = F.when(F.col("doc_id") % 10 == 3, F.substring(line, 1, 12)).otherwise(line)
+    source.select(cut.alias("value")).write.text(path)
+    good, rejected = read_jsonl_quarantine(spark, path, "doc_id BIGINT, text STRING, n_chars BIGINT", ["text"])
+    reasons = rejected.groupBy("reason").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("chars"))
+    return reasons.union(good.agg(F.lit("good").alias("reason"), F.count("*").alias("n"), F.sum("n_chars").alias("chars")))
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
 
@@ -102,6 +114,11 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest(runs, 3, ["user_id"], ["event_id"])
 
 
+def latest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = t.table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"])
+    return keep_latest(runs, 5_000, ["l_returnflag"], ["l_orderkey", "l_linenumber"])
+
+
 def text_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_text(t.conversations(spark, sf_dir), "conv_id", render_role_prefix)
 
@@ -164,6 +181,11 @@ _ORDERS = "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders"
 
 QUERIES = {
     "s1_read_jsonl": (jsonl, "SELECT doc_id, text, lang, n_chars FROM documents"),
+    "s1_read_jsonl_quarantine": (
+        quarantine,
+        "SELECT CASE doc_id % 10 WHEN 3 THEN 'not JSON of the schema' WHEN 7 THEN 'text is null' ELSE 'good' END AS reason, "
+        "count(*) AS n, (sum(CASE WHEN doc_id % 10 IN (3, 7) THEN 0 ELSE n_chars END))::BIGINT AS chars FROM documents GROUP BY 1",
+    ),
     "s2_limit_strict": (limit_strict, f"{_ORDERS} ORDER BY o_orderkey LIMIT 1000"),
     "s2_limit_clamp": (limit_clamp, f"{_ORDERS} ORDER BY o_orderkey LIMIT 10000000"),
     "s2_limit_clamp_zero_all": (limit_clamp_zero_all, _ORDERS),
@@ -196,6 +218,11 @@ QUERIES = {
         "SELECT user_id, event_id, event_type, value FROM events "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 3",
     ),
+    "s7_keep_latest_many": (
+        latest_many,
+        "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem "
+        "QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey DESC, l_linenumber DESC) <= 5000",
+    ),
     "p1_select_text_conversations": (text_from_conversations, q.rendered(q.ROLE_PREFIX)),
     "p1_select_text_text": (text_from_text, "SELECT doc_id, text FROM documents"),
     "p1_select_text_input": (text_from_input, "SELECT doc_id, text FROM documents"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ from millrace.operators.words import (
     word_symbols,
 )
 from millrace.plans.training_rows import train_tokenizer
-from millrace.session import cut_lineage
+from millrace.session import checkpoint_dir, cut_lineage
+from millrace.sources.vocabulary import Tokenizer, read_tokenizer, write_tokenizer
 
 # As many merges as the oracle queries spell out step by step.
 MERGES = 48
@@ -30,6 +33,23 @@ def small_vocabulary(texts: DataFrame) -> Vocabulary:
     return train_bpe(counts, len(SPECIAL_TOKENS) + alphabet(counts).count() + MERGES)
 
 
+_TRAINED: dict[tuple[str, str], str] = {}
+
+
+def full_vocabulary(spark: SparkSession, sf_dir: str) -> Tokenizer:
+    """The vocabulary of the reference settings, learned from the documents.
+
+    It is trained once in a session and kept as a tokenizer document.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        path = f"{checkpoint_dir(spark)}/tokenizer-{uuid4().hex}"
+        learned = train_tokenizer(t.documents(spark, sf_dir), 6400, 2)
+        write_tokenizer(learned.vocab, learned.merges, path)
+        _TRAINED[key] = path
+    return read_tokenizer(spark, _TRAINED[key])
+
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pretokenize(t.documents(spark, sf_dir), "doc_id", "text")
 
@@ -83,6 +103,18 @@ def texts_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encoded, "ids", learned.vocab).select(F.col("key").alias("doc_id"), "text")
 
 
+def full_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = full_vocabulary(spark, sf_dir)
+    encoded = encode(t.documents(spark, sf_dir), "doc_id", "text", learned.vocab, learned.merges)
+    return encoded.select(F.col("key").alias("doc_id"), t.joined("ids"))
+
+
+def full_texts_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = full_vocabulary(spark, sf_dir)
+    encoded = encode(t.documents(spark, sf_dir), "doc_id", "text", learned.vocab, learned.merges)
+    return decode(encoded, "ids", learned.vocab).select(F.col("key").alias("doc_id"), "text")
+
+
 _BPE = f"WITH {q.bpe('SELECT text FROM documents', MERGES)}"
 _SPECIALS = "(VALUES (0, '<s>', TRUE), (1, '</s>', TRUE), (2, '<pad>', TRUE), (3, '<unk>', TRUE))"
 # A text may get the space before it as a symbol of its own.
@@ -125,4 +157,6 @@ QUERIES = {
         f"SELECT doc_id, {q.numbers('ids')} AS ids FROM e",
     ),
     "e4_decode": (texts_again, f"SELECT doc_id, {q.prefixed('text')} AS text FROM documents"),
+    "e1_encode_6400": (full_ids, None),
+    "e4_decode_6400": (full_texts_again, f"SELECT doc_id, {q.prefixed('text')} AS text FROM documents"),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.sequences import attention_mask, pad
@@ -99,14 +99,28 @@ def pad_lists_to_batch_max(
 ) -> DataFrame:
     """Pad the lists named in ``fills`` with its values, each to its own longest of the batch.
 
-    ``masks`` names the mask column of a list. Lengths are combined before they are
-    shuffled, and the join back has one row per batch on its other side, so Spark can
-    split a batch with very many rows.
+    ``masks`` names the mask column of a list. The rows of a batch meet in one window,
+    so the table is read and shuffled once; the batch size bounds the window.
     """
-    lengths = [F.max(F.size(c)).alias(f"_longest_{c}") for c in fills]
-    padded = df.join(df.groupBy(*batch_cols).agg(*lengths), list(batch_cols))
+    batch = Window.partitionBy(*batch_cols)
+    padded = df.select("*", *[F.max(F.size(c)).over(batch).alias(f"_longest_{c}") for c in fills])
     for ids, mask in masks.items():
         padded = padded.withColumn(mask, attention_mask(F.col(ids), F.col(f"_longest_{ids}")))
     for ids, value in fills.items():
         padded = padded.withColumn(ids, pad(F.col(ids), F.col(f"_longest_{ids}"), value))
     return padded.drop(*[f"_longest_{c}" for c in fills])
+
+
+def write_ranks(batched: DataFrame, path: str) -> None:
+    """Write rows with ``epoch, step, micro, pos, rank`` so that a rank reads its own alone.
+
+    Every rank has a folder. A task has a range of steps and writes one file a rank,
+    its rows in order; names of files rise with their steps.
+    """
+    dealt = batched.repartitionByRange("epoch", "step").sortWithinPartitions("rank", "epoch", "pos")
+    dealt.write.mode("overwrite").partitionBy("rank").parquet(path)
+
+
+def read_rank(spark: SparkSession, path: str, rank: int) -> DataFrame:
+    """The rows of a rank; files of other ranks are not opened."""
+    return spark.read.parquet(path).filter(F.col("rank") == rank)

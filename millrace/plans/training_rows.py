@@ -6,7 +6,7 @@ where batches set their own.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.render import ChatTemplate, render_human_assistant, render_role_prefix
 from millrace.functions.sequences import (
     IGNORED_LABEL,
+    add_special,
     attention_mask,
     causal_labels,
     pad,
@@ -29,9 +30,12 @@ from millrace.operators.candidates import (
     top_p,
 )
 from millrace.operators.conversations import preference_pairs, select_text
-from millrace.operators.encode import encode
+from millrace.operators.encode import encode, resolve_specials
 from millrace.operators.preference import preference_tokens
 from millrace.operators.words import corpus_words, word_counts
+from millrace.session import cut_lineage
+from millrace.sources.jsonl import limit_examples
+from millrace.sources.vocabulary import Tokenizer
 
 
 def train_tokenizer(df: DataFrame, vocab_size: int = 6400, min_frequency: int = 2) -> Vocabulary:
@@ -40,10 +44,18 @@ def train_tokenizer(df: DataFrame, vocab_size: int = 6400, min_frequency: int =
 
 
 def causal_rows(
-    texts: DataFrame, key: str, vocabulary: Vocabulary, pad_id: int, max_length: int = 512
+    texts: DataFrame,
+    key: str,
+    vocabulary: Vocabulary | Tokenizer,
+    pad_id: int,
+    max_length: int = 512,
+    bos_id: int | None = None,
 ) -> DataFrame:
-    """``(key, input_ids, attention_mask, labels)`` from ``(key, text)``."""
-    head = encode(texts, key, "text", vocabulary.vocab, vocabulary.merges, max_length).withColumnRenamed("key", key)
+    """``(key, input_ids, attention_mask, labels)`` from ``(key, text)``, with a start id in front if there is one."""
+    room = max_length if bos_id is None else max_length - 1
+    prefix_space = getattr(vocabulary, "prefix_space", True)
+    head = encode(texts, key, "text", vocabulary.vocab, vocabulary.merges, room, prefix_space)
+    head = head.select(F.col("key").alias(key), add_special(F.col("ids"), bos_id, None).alias("ids"))
     padded = pad(F.col("ids"), max_length, pad_id)
     return head.select(
         key,
@@ -54,7 +66,7 @@ def causal_rows(
 
 
 def pretrain_rows(
-    df: DataFrame, key: str, vocabulary: Vocabulary, pad_id: int, max_length: int = 512
+    df: DataFrame, key: str, vocabulary: Vocabulary | Tokenizer, pad_id: int, max_length: int = 512
 ) -> DataFrame:
     """Rows for pretraining; the table must have a ``text`` column."""
     return causal_rows(select_text(df, key, only="text"), key, vocabulary, pad_id, max_length)
@@ -63,7 +75,7 @@ def pretrain_rows(
 def fine_tuning_rows(
     df: DataFrame,
     key: str,
-    vocabulary: Vocabulary,
+    vocabulary: Vocabulary | Tokenizer,
     pad_id: int,
     max_length: int = 512,
     renderer: Callable[[Column], Column] = render_role_prefix,
@@ -76,7 +88,7 @@ def fine_tuning_rows(
 
 
 def adapter_rows(
-    df: DataFrame, key: str, vocabulary: Vocabulary, pad_id: int, max_length: int = 512
+    df: DataFrame, key: str, vocabulary: Vocabulary | Tokenizer, pad_id: int, max_length: int = 512
 ) -> DataFrame:
     """Rows for adapter training: like fine-tuning, with ``Human:`` and ``Assistant:``."""
     return fine_tuning_rows(df, key, vocabulary, pad_id, max_length, render_human_assistant)
@@ -85,7 +97,7 @@ def adapter_rows(
 def preference_rows(
     df: DataFrame,
     key: str,
-    vocabulary: Vocabulary,
+    vocabulary: Vocabulary | Tokenizer,
     template: ChatTemplate,
     prompt_mode: str = "chosen",
     max_prompt_length: int = 256,
@@ -98,13 +110,51 @@ def preference_rows(
     """
     pairs = preference_pairs(df, key, template, prompt_mode)
     texts = ["chosen", "rejected"] if prompt_mode == "chosen" else ["prompt", "chosen", "rejected"]
-    encoded = encode(pairs, key, texts, vocabulary.vocab, vocabulary.merges)
+    prefix_space = getattr(vocabulary, "prefix_space", True)
+    encoded = encode(pairs, key, texts, vocabulary.vocab, vocabulary.merges, prefix_space=prefix_space)
     encoded = encoded.withColumnRenamed("key", key)
     if prompt_mode == "chosen":
         encoded = encoded.withColumn("prompt", F.col("chosen"))
     return preference_tokens(encoded, key, max_prompt_length, max_length)
 
 
+def special_ids(roles: DataFrame, vocab: DataFrame) -> dict[str, int]:
+    """The ids of ``bos``, ``eos``, ``pad`` and ``unk`` of a settings row, with their fallbacks.
+
+    Roles without a token, or with one that the vocabulary lacks, are left out. At most
+    four rows are collected.
+    """
+    names = ("bos", "eos", "pad", "unk")
+    settled = resolve_specials(roles.select(*names).limit(1))
+    pairs = F.array(*[F.struct(F.lit(name).alias("role"), F.col(name).alias("token")) for name in names])
+    found = settled.select(F.inline(pairs)).join(vocab.select("id", "token"), "token")
+    return {row.role: row.id for row in found.collect()}
+
+
+def pretrain_batches(
+    examples: DataFrame,
+    key: str,
+    vocabulary: Vocabulary | Tokenizer,
+    specials: Mapping[str, int],
+    limit: int | None = None,
+    max_length: int = 512,
+    epochs: int = 1,
+    seed: int = 42,
+    batch: int = 2,
+    accum: int = 16,
+    world: int = 1,
+) -> DataFrame:
+    """From examples to what a trainer reads: the first ``limit`` by key, as rows with a start
+    id, padded and labelled, laid out over epochs, ranks and steps.
+
+    The encoded rows are written once, in the checkpoint folder, before they are laid out.
+    """
+    chosen = limit_examples(examples, limit, [key], "clamp")
+    texts = select_text(chosen, key, only="text")
+    rows = causal_rows(texts, key, vocabulary, specials["pad"], max_length, specials.get("bos"))
+    return batched_rows(cut_lineage(rows), key, epochs, seed, batch, accum, world)
+
+
 def batched_rows(
     rows: DataFrame, key: str, epochs: int, seed: int, batch: int, accum: int = 1, world: int = 1
 ) -> DataFrame:

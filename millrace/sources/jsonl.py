@@ -29,6 +29,26 @@ def read_jsonl(
     return spread(reader.json(paths if isinstance(paths, str) else list(paths)))
 
 
+def read_jsonl_quarantine(
+    spark: SparkSession, paths: str | Sequence[str], schema: str, needed: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Lines as rows of ``schema``, and the lines that are none: ``(reason, line)``.
+
+    A line is set aside if it isn't JSON of that schema, or if one of the ``needed``
+    fields is null; the first such reason is given. Blank lines are no lines. Every
+    other line is in one of the two tables.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, _damaged STRING", {"columnNameOfCorruptRecord": "_damaged"})
+    rows = lines.select("value", parsed.alias("row"))
+    damaged = F.col("row").isNull() | F.col("row._damaged").isNotNull()
+    reasons = [F.when(F.col("row")[name].isNull(), F.lit(f"{name} is null")) for name in needed]
+    reason = F.when(damaged, F.lit("not JSON of the schema")).otherwise(F.coalesce(*reasons, F.lit(None).cast("string")))
+    rows = rows.withColumn("reason", reason)
+    good = rows.filter(F.col("reason").isNull()).select("row.*").drop("_damaged")
+    return good, rows.filter(F.col("reason").isNotNull()).select("reason", F.col("value").alias("line"))
+
+
 def limit_examples(
     df: DataFrame, n: int | None, order_by: Sequence[str], policy: str = "strict"
 ) -> DataFrame:

@@ -9,6 +9,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.session import cut_lineage
+
+# Spark cuts rows before a ranked window up to this many of a group, by its default settings.
+MAX_GROUP_LIMIT = 1_000
 MANIFEST_SCHEMA = "state STRING, fields STRING, n_rows BIGINT, version STRING"
 
 
@@ -49,15 +53,33 @@ def is_complete(spark: SparkSession, path: str, fields: str, version: str) -> bo
 def keep_latest(
     runs: DataFrame, n: int = 3, partition_by: Sequence[str] = ("run",), order_by: Sequence[str] = ("step",)
 ) -> DataFrame:
-    """The newest ``n`` rows of every run.
+    """The newest ``n`` rows of every run; ``order_by`` has to tell the rows of a run apart.
 
-    ``order_by`` has to tell the rows of a run apart. Up to an ``n`` of 1000 Spark
-    keeps at most ``n`` rows per run and task before the shuffle, so a run with very
-    many rows sends few; beyond it the whole run is sorted in one task.
+    Up to ``MAX_GROUP_LIMIT`` Spark keeps at most ``n`` rows per run and task before the
+    shuffle, so a run with very many rows sends few. Beyond it rows are sorted by
+    ranges of run and order, and each counts the rows before it: a long run is spread
+    over as many tasks as it fills.
     """
+    if n > MAX_GROUP_LIMIT:
+        return _newest_by_ranges(runs, n, partition_by, order_by)
     newest = Window.partitionBy(*partition_by).orderBy(*[F.desc(c) for c in order_by])
     return runs.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= n).drop("_place")
 
 
+def _newest_by_ranges(runs: DataFrame, n: int, partition_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    keys = [*[F.col(c) for c in partition_by], *[F.desc(c) for c in order_by]]
+    ordered = runs.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Written, as a second sort may draw other ranges.
+    ordered = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_id", 33))
+    shares = ordered.groupBy(*partition_by, "_part").agg(F.count("*").alias("_rows"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy(*partition_by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).filter(F.col("_before") < n)
+    shares = shares.select(*[F.col(c).alias(f"_of_{c}") for c in (*partition_by, "_part")], (F.col("_before") - F.col("_first")).alias("_shift"))
+    condition = F.lit(True)
+    for c in (*partition_by, "_part"):
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return ordered.join(shares, condition).filter(F.col("_id") + F.col("_shift") < n).select(*runs.columns)
+
+
 def _write_manifest(spark: SparkSession, path: str, row: tuple) -> None:
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")

@@ -1,10 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.sources import jsonl
-from millrace.sources.jsonl import count_examples, limit_examples, positions, read_jsonl
+from millrace.sources.jsonl import count_examples, limit_examples, positions, read_jsonl, read_jsonl_quarantine
 from millrace.sources.stages import keep_latest, materialize_stage
 from millrace.sources.vocabulary import (
     read_special_tokens,
@@ -143,3 +144,34 @@ def test_latest_runs(spark):
     rows = [("a", s) for s in range(10)] + [("b", 1)]
     kept = keep_latest(spark.createDataFrame(rows, "run STRING, step INT"), 3)
     assert sorted(tuple(r) for r in kept.collect()) == [("a", 7), ("a", 8), ("a", 9), ("b", 1)]
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    """Every line that isn't blank is in one of the two tables, with the first reason against it."""
+    lines = [
+        '{"id": 1, "conversations": [{"role": "user", "content": "a"}]}', '{"id": 2, "conversations": null}', '{"id": 3}', "{", "", "  ",
+        "nonsense", '{"id": "x", "conversations": []}', '{"id": null, "conversations": []}', '[1]', '{"id": 4, "conversations": [], "more": 1}',
+    ]
+    path = tmp_path / "a.jsonl"
+    path.write_text("\n".join(lines) + "\n")
+    schema = "id BIGINT, conversations ARRAY<STRUCT<role STRING, content STRING>>"
+    good, bad = read_jsonl_quarantine(spark, str(path), schema, ["conversations", "id"])
+    assert good.columns == ["id", "conversations"] and sorted(r.id for r in good.collect()) == [1, 4]
+    reasons = {r.line: r.reason for r in bad.collect()}
+    assert len(reasons) == 7 and reasons['{"id": 3}'] == reasons[lines[1]] == "conversations is null"
+    assert reasons[lines[8]] == "id is null" and reasons["{"] == reasons["nonsense"] == reasons["[1]"] == "not JSON of the schema"
+    assert read_jsonl_quarantine(spark, str(path), schema)[0].filter("id = 2").count() == 1
+
+
+@pytest.mark.parametrize("n", [1_001, 2_500, 9_000])
+def test_many_latest_rows_by_ranges(spark, n):
+    """A run that holds most rows, one with a null name, short ones, and columns that look like the helpers."""
+    rows = spark.range(0, 9_000, 1, 7).selectExpr(
+        "case when id % 3 > 0 then 'hot' when id % 2 = 0 then null else concat('r', id % 9) end AS run", "id AS step", "id AS place"
+    )
+    newest = Window.partitionBy("run").orderBy(F.desc("step"))
+    expected = rows.withColumn("p", F.row_number().over(newest)).filter(F.col("p") <= n).drop("p")
+    got = keep_latest(rows, n)
+    assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
+    ranked = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number" in line]
+    assert not ranked
