@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import fragments as q
 from millrace.catalog import tables as t
 from millrace.functions.render import ChatTemplate
-from millrace.operators.bigrams import bigram_model, score_sequences
+from millrace.operators.bigrams import bigram_model, score_lists, score_sequences
 from millrace.operators.candidates import (
     ban_repeat_bigrams,
     renormalize,
@@ -80,14 +80,12 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "policy": t.table(spark, sf_dir, "conversations", ["text"]),
         "reference": t.benchmark(spark, sf_dir),
     }
-    logged = None
-    for name, source in texts.items():
-        counted = cut_lineage(bigram_model(source.select(t.byte_ids(F.col("text")).alias("ids"))))
-        for side in ("chosen", "rejected"):
-            ids = pairs.select("conv_id", t.byte_ids(F.col(side)).alias("ids"))
-            scored = score_sequences(ids, "conv_id", counted, BYTES)
-            column = scored.select("conv_id", F.col("log_prob").alias(f"{name}_{side}"))
-            logged = column if logged is None else logged.join(column, "conv_id")
+    models = {
+        name: bigram_model(source.select(t.byte_ids(F.col("text")).alias("ids"))) for name, source in texts.items()
+    }
+    sides = {side: side for side in ("chosen", "rejected")}
+    ids = pairs.select("conv_id", *[t.byte_ids(F.col(side)).alias(side) for side in sides])
+    logged = score_lists(ids, "conv_id", sides, models, BYTES)
     return preference_metrics(logged).select(
         "n_pairs",
         F.round("loss", 6).alias("loss"),

@@ -23,6 +23,7 @@ from millrace.operators.batches import (
     assign_batches,
     epoch_order,
     pad_to_batch_max,
+    planned_run,
     read_rank,
     run_plan,
     run_points,
@@ -123,12 +124,16 @@ def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_plan(batches(spark, sf_dir))
 
 
+def plan_of_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planned_run(t.table(spark, sf_dir, "orders", ["o_orderkey"]), epochs=3, batch=4, accum=8, world=3)
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_points(plan(spark, sf_dir), logging_steps=10, save_steps=100)
+    return run_points(plan_of_count(spark, sf_dir), logging_steps=10, save_steps=100)
 
 
 def points_per_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_points(plan(spark, sf_dir), logging_steps=100)
+    return run_points(plan_of_count(spark, sf_dir), logging_steps=100)
 
 
 def _as_text(rows: DataFrame) -> DataFrame:
@@ -341,6 +346,11 @@ QUERIES = {
         "SELECT *, (sum(steps) OVER (ORDER BY epoch) - steps + 1)::BIGINT AS first_step, "
         f"(sum(steps) OVER (ORDER BY epoch))::BIGINT AS last_step FROM ({_PLAN})",
     ),
+    "b3_planned_run": (
+        plan_of_count,
+        "SELECT *, (sum(steps) OVER (ORDER BY epoch) - steps + 1)::BIGINT AS first_step, "
+        f"(sum(steps) OVER (ORDER BY epoch))::BIGINT AS last_step FROM ({_PLAN})",
+    ),
     "b3_run_points": (points, f"{_every('log', 10)} UNION ALL {_every('save', 100)}"),
     "b3_run_points_per_epoch": (
         points_per_epoch,

@@ -58,6 +58,20 @@ def assign_batches(ordered: DataFrame, batch: int, accum: int = 1, world: int =
     )
 
 
+def planned_run(rows: DataFrame, epochs: int, batch: int, accum: int = 1, world: int = 1) -> DataFrame:
+    """The plan of :func:`run_plan` from the number of rows alone, without laying them out."""
+    spark, n_rows = rows.sparkSession, rows.count()
+    if not n_rows:
+        return run_plan(spark.createDataFrame([], "epoch INT, micro BIGINT, step BIGINT"))
+    micro = -(-n_rows // (batch * world))
+    steps = -(-n_rows // (batch * world * accum))
+    return spark.range(epochs).select(
+        F.col("id").cast("int").alias("epoch"), F.lit(n_rows).cast("long").alias("n_rows"),
+        F.lit(micro).cast("long").alias("micro_batches"), F.lit(steps).cast("long").alias("steps"),
+        (F.col("id") * steps + 1).alias("first_step"), ((F.col("id") + 1) * steps).alias("last_step"),
+    )
+
+
 def run_plan(assigned: DataFrame) -> DataFrame:
     """Rows, micro-batches and steps of every epoch, and the steps it ends before and after."""
     epochs = assigned.groupBy("epoch").agg(

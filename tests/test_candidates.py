@@ -2,8 +2,11 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.operators.bigrams import bigram_model, score_sequences
+from millrace.catalog import CATALOG
+from millrace.operators import bigrams
+from millrace.operators.bigrams import bigram_model, score_lists, score_sequences
 from millrace.operators.candidates import ban_repeat_bigrams, renormalize, sample, softmax, top_k, top_p
 from millrace.plans.training_rows import next_tokens
 
@@ -100,3 +103,28 @@ def test_bigram_likelihood(spark):
     assert tuple(scored[2]) == (2, 0, 0.0, None)
     assert scored[1].log_prob == pytest.approx(expected)
     assert scored[1].perplexity == pytest.approx(math.exp(-expected / 4))
+
+
+@pytest.mark.parametrize("shared", [0, 3, 1000])
+def test_lists_are_scored_side_by_side(spark, monkeypatch, shared):
+    """One pair stands in a third of all sequences, another such pair in no model; few, some or all rows travel."""
+    monkeypatch.setattr(bigrams, "SHARED_ROWS", shared)
+    rng = random.Random(3)
+    rows = [(k, [7, 7] if k % 3 == 0 else [rng.randrange(9) for _ in range(k % 6)], [8, 9] if k % 3 == 1 else [rng.randrange(9), 1, 2]) for k in range(600)]
+    table = spark.createDataFrame(rows, "k INT, a ARRAY<INT>, b ARRAY<INT>")
+    models = {
+        "one": bigram_model(table.select(F.col("a").alias("ids"))),
+        "two": bigram_model(spark.createDataFrame([([1, 2, 1, 7, 7, 3],), ([5],)], "ids ARRAY<INT>")),
+    }
+    got = {r.k: r for r in score_lists(table, "k", {"a": "a", "b": "b"}, models, 10, 0.5).collect()}
+    assert len(got) == 600
+    for model in models:
+        for side in ("a", "b"):
+            for r in score_sequences(table, "k", models[model], 10, 0.5, side).collect():
+                assert got[r.k][f"{model}_{side}"] == pytest.approx(r.log_prob, abs=1e-9)
+
+
+def test_preference_metrics_take_few_exchanges(spark):
+    plan = CATALOG["d2_preference_metrics"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    exchanges = [line for line in plan.toString().splitlines() if "Exchange " in line and "Broadcast" not in line and "Reused" not in line]
+    assert len(exchanges) <= 6

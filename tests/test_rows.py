@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.sequences import add_special, attention_mask, causal_labels, pad, stop_at, truncate
-from millrace.operators.batches import assign_batches, epoch_order, pad_to_batch_max, run_plan, run_points
+from millrace.operators.batches import assign_batches, epoch_order, pad_to_batch_max, planned_run, run_plan, run_points
 from millrace.operators.preference import preference_metrics, preference_tokens
 from millrace.operators.user_map import map_batches
 
@@ -57,6 +57,14 @@ def test_batches_cover_every_row_once(spark):
     assert {(r.kind, r.step) for r in run_points(plan, 100).collect()} == {("save", 5), ("save", 10)}
 
 
+@pytest.mark.parametrize("n", [0, 1, 23, 24, 25, 101])
+def test_a_plan_needs_the_number_of_rows_alone(spark, n):
+    keys = spark.range(n).withColumnRenamed("id", "k")
+    expected = run_plan(assign_batches(epoch_order(keys, "k", 3, 1), 4, 3, 2))
+    got = planned_run(keys, 3, 4, 3, 2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect())) and got.columns == expected.columns
+
+
 def test_empty_tables(spark):
     ordered = epoch_order(spark.range(0).withColumnRenamed("id", "k"), "k", 2, 1)
     plan = run_plan(assign_batches(ordered, 4))
