@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -48,6 +49,8 @@ _CORPUS = "lang string, words array<long>, phrase binary, word string"
 _SLOT, _BIT = 44, 38
 #: The frontier's share of a language in the first round, and its growth while scores are too few.
 FIRST_SHARE, GROWTH = 0.125, 4
+#: Words in a row of the corpus as hashes, about.
+ROW_WORDS = 64
 #: Row groups of the corpus as hashes: readers hold one at a time.
 _ROW_GROUPS = {"parquet.block.size": 16 << 20}
 #: Parts in which a language's scores are cut before they meet.
@@ -221,7 +224,8 @@ def _among(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
 def _runs(texts: DataFrame, seed: int, shared: Broadcast) -> DataFrame:
     """The corpus as hashes of frequent words; one 0 stands for everything between them.
 
-    Rows without a list name the words that their task met.
+    Rows without a list name the words that their task met. The others hold some
+    ROW_WORDS and end with a 0, so batches of rows are small and no phrase is cut.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,12 +243,20 @@ def _runs(texts: DataFrame, seed: int, shared: Broadcast) -> DataFrame:
                 yield _batch(lang, words=pa.nulls(len(names), pa.list_(pa.int64())), phrase=_packed(new[met][:, None]), word=names.cast(pa.string()))
                 run = kept[lang][numbers]
                 run = run[(run != 0) | np.concatenate(([False], run[:-1] != 0))]
-                lists = pa.ListArray.from_arrays(pa.array([0, len(run)], pa.int32()), pa.array(run.view(np.int64)))
-                yield _batch(lang, words=lists, phrase=pa.nulls(1, pa.binary()), word=pa.nulls(1, pa.string()))
+                lists = _rows_of(run)
+                yield _batch(lang, words=lists, phrase=pa.nulls(len(lists), pa.binary()), word=pa.nulls(len(lists), pa.string()))
 
     return texts.mapInArrow(encode, _CORPUS)
 
 
+def _rows_of(run: np.ndarray) -> pa.ListArray:
+    run = np.concatenate((run, np.zeros(1, np.uint64)))
+    ends = np.flatnonzero(run == 0) + 1
+    cuts = np.unique(ends[np.searchsorted(ends, np.arange(ROW_WORDS, len(run), ROW_WORDS))])
+    cuts = np.unique(np.concatenate(([0], cuts, [len(run)])))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(run.view(np.int64)))
+
+
 def _opened(words: DataFrame, totals: DataFrame, limits: DataFrame | None, best: DataFrame | None, share: float, mining: Mining) -> DataFrame:
     """``lang, total, after, upto``: first words with counts in between are expanded next.
 
@@ -272,15 +284,15 @@ def _opened(words: DataFrame, totals: DataFrame, limits: DataFrame | None, best:
 
 
 def _each(corpus: DataFrame, schema: str, shared: dict, rows) -> DataFrame:
-    """What ``rows(lang, words, bit tables)`` makes of every run of the corpus."""
+    """What ``rows(lang, words, bit tables)`` makes of each language in each batch of the corpus."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {name: _table(bits) for name, bits in shared.items()}
         for batch in batches:
-            lists = batch.column("words")
-            for i, lang in enumerate(batch.column("lang").to_pylist()):
-                run = lists[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                yield from rows(lang, run, tables)
+            langs, lists = batch.column("lang"), batch.column("words")
+            for lang in pc.unique(langs).to_pylist():
+                run = lists.filter(pc.equal(langs, pa.scalar(lang))).flatten()
+                yield from rows(lang, run.to_numpy(zero_copy_only=False).view(np.uint64), tables)
 
     return corpus.mapInArrow(tasks, schema)
 
