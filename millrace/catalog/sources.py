@@ -15,7 +15,7 @@ from millrace.operators.conversations import select_text
 from millrace.operators.encode import check_ids, resolve_specials
 from millrace.session import checkpoint_dir
 from millrace.sources.jsonl import count_examples, limit_examples, read_jsonl, read_jsonl_quarantine
-from millrace.sources.stages import keep_latest, materialize_stage
+from millrace.sources.stages import input_version, keep_latest, latest_version, materialize_stage, materialize_version
 from millrace.sources.vocabulary import read_tokenizer, read_vocab, write_tokenizer, write_vocab
 
 
@@ -109,6 +109,17 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize_stage(lines, path, sf_dir)
 
 
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a stage, the first asked for again, and the newest read."""
+    path = _folder(spark, "versions")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    columns = ["l_orderkey", "l_linenumber", "l_quantity"]
+    small = lines.filter("l_linenumber = 1").select(columns)
+    for rows, code in ((small, "first lines"), (lines.select(columns), "all lines"), (small, "first lines")):
+        materialize_version(rows, path, input_version(lines, code=code))
+    return latest_version(spark, path)
+
+
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = t.table(spark, sf_dir, "events", ["user_id", "event_id", "event_type", "value"])
     return keep_latest(runs, 3, ["user_id"], ["event_id"])
@@ -213,6 +224,7 @@ QUERIES = {
     "s6_materialize_stage": (
         stage, "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem",
     ),
+    "s6_stage_versions": (versions, "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem"),
     "s7_keep_latest": (
         latest,
         "SELECT user_id, event_id, event_type, value FROM events "

@@ -1,12 +1,14 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.sources import jsonl
 from millrace.sources.jsonl import count_examples, limit_examples, positions, read_jsonl, read_jsonl_quarantine
-from millrace.sources.stages import keep_latest, materialize_stage
+from millrace.sources import stages
+from millrace.sources.stages import input_version, keep_latest, latest_version, materialize_stage, materialize_version
 from millrace.sources.vocabulary import (
     read_special_tokens,
     read_special_tokens_map,
@@ -175,3 +177,43 @@ def test_many_latest_rows_by_ranges(spark, n):
     assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
     ranked = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number" in line]
     assert not ranked
+
+
+def test_versions_of_a_stage(spark, tmp_path, monkeypatch):
+    """A failed write leaves the version before; whole ones are found again; damaged ones are written anew."""
+    path = str(tmp_path / "stage")
+    with pytest.raises(ValueError, match="no version"):
+        latest_version(spark, path)
+    assert keys(materialize_version(spark.range(5), path, "a")) == list(range(5))
+    failing = spark.range(9).withColumn("id", F.when(F.col("id") == 8, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="broken"):
+        materialize_version(failing.select(F.col("id").cast("long")), path, "b")
+    assert keys(latest_version(spark, path)) == list(range(5))
+    assert keys(materialize_version(spark.range(7), path, "b")) == list(range(7))
+    assert keys(materialize_version(spark.range(99), path, "a")) == list(range(5))
+    assert keys(latest_version(spark, path)) == list(range(7))
+    newest = stages._versions(spark, path)[0].folder
+    part = next((tmp_path / "stage" / newest.rsplit("/", 1)[1]).glob("*.parquet"))
+    part.write_bytes(part.read_bytes()[:-9])
+    assert keys(latest_version(spark, path)) == list(range(5))
+    assert keys(materialize_version(spark.range(7), path, "b")) == list(range(7))
+
+    def unreachable(*_):
+        raise PySparkException("the store does not answer")
+
+    monkeypatch.setattr(stages, "_lacks_files", lambda error: False)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        stages._versions(spark, str(tmp_path / "nothing"))
+    monkeypatch.undo()
+    monkeypatch.setattr(type(spark.read), "parquet", unreachable)
+    with pytest.raises(PySparkException, match="does not answer"):
+        latest_version(spark, path)
+
+
+def test_versions_follow_the_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(5).write.parquet(path)
+    first = input_version(spark.read.parquet(path))
+    assert first == input_version(spark.read.parquet(path)) != input_version(spark.read.parquet(path), code="2")
+    spark.range(5).write.mode("append").parquet(path)
+    assert input_version(spark.read.parquet(path)) != first
