@@ -25,6 +25,7 @@ row gives one row. Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import REMEMBERED, mixed, slices
+from millrace.llm.common import mixed, slices
 from millrace.llm.fm_index import FMIndex
 
 WINDOW = 20
@@ -43,24 +44,19 @@ BLOCK = 50_000
 FIRST_KEY = -(1 << 63)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 # --- anchors --------------------------------------------------------------------
 
 
-def segments(words: list[bytes], hashes: dict, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+def segments(words: list[bytes], window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
     """Hash of the anchor, hash of all words, first word and length of each segment of a document."""
     if len(words) < window:
         return (np.zeros(0, np.int64),) * 4
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = len(w) - anchor + 1
-    grams = np.zeros(n, np.uint64)
-    for k in range(anchor):
-        grams = mixed(grams + w[k : k + n])
+    grams = w[:n].copy()
+    for k, power in enumerate(_powers(anchor)[1:], 1):
+        grams += w[k : k + n] * power
+    grams = mixed(grams)
     views = np.lib.stride_tricks.sliding_window_view(grams, window - anchor + 1)
     least = views.argmin(axis=1) + np.arange(len(views))
     starts = np.flatnonzero(np.diff(least, prepend=-1))
@@ -94,12 +90,9 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of equal segments seen together only the first competes for being first of all;
     the others are ``later`` already and get an anchor of their own, which spreads them.
     """
-    hashes = _WordHashes()
     for batch in batches:
         for part, texts in slices(batch, "text"):
-            if len(hashes) > REMEMBERED:
-                hashes.clear()
-            found = [segments(text.split(), hashes) for text in texts]
+            found = [segments(text.split()) for text in texts]
             anchor, segment, start, length = (np.concatenate(c) for c in zip(*found, strict=True))
             times = [len(x[0]) for x in found]
             key, version = (np.repeat(part.column(c).to_numpy(), times) for c in ("key", "version"))
@@ -126,10 +119,8 @@ def _cut(block_size: int):
                 for key, version, text, own in zip(part.column("key").to_pylist(), part.column("version").to_pylist(), texts, part.column("segments").to_pylist(), strict=True):
                     words = text.split()
                     for s in own:
-                        if s["later"]:
-                            continue
                         blocks = -(-s["n"] // block_size)
-                        block = xxhash.xxh3_64_intdigest(f"{key}:{s['start']}") % blocks
+                        block = xxhash.xxh3_64_intdigest(f"{key}:{s['start']}") % blocks if blocks > 1 else 0
                         rows.append((s["anchor"], block, blocks, key, version, s["start"], b" ".join(words[s["start"] : s["start"] + s["length"]])))
                 types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 columns = zip(*rows, strict=True) if rows else [[]] * 7
@@ -248,13 +239,12 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = text.split()
                 gone = np.zeros(len(words), bool)
                 for x in own or ():
-                    if x["later"]:
-                        gone[x["start"] : x["start"] + x["length"]] = True
+                    gone[x["start"] : x["start"] + x["length"]] = True
                 for x in repeats or ():
                     gone[x["at"] : x["until"]] = True
                 totals.append(len(words))
                 removed.append(int(gone.sum()))
-                kept.append(b" ".join([w for w, x in zip(words, gone.tolist(), strict=True) if not x]) if removed[-1] else b" ".join(words))
+                kept.append(b" ".join(compress(words, (~gone).tolist()) if removed[-1] else words))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"],
@@ -280,10 +270,12 @@ def without_repeats(docs: DataFrame, block_size: int = BLOCK) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``: the words left of each document, joined by one space."""
     base = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(FIRST_KEY)).alias("key"), F.hash("text").alias("version"))
     held = _segments(base)
-    cut = base.join(held, ["key", "version"]).select("doc_id", "key", "version", "text", "segments").mapInArrow(_cut(block_size), SEGMENTS)
+    own = held.withColumn("segments", F.filter("segments", lambda s: ~s["later"])).filter(F.size("segments") > 0)
+    gone = F.transform(F.filter("segments", lambda s: s["later"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
+    cut = base.join(own, ["key", "version"]).select("doc_id", "key", "version", "text", "segments").mapInArrow(_cut(block_size), SEGMENTS)
     dealt = cut.repartition("anchor", "block").sortWithinPartitions("anchor", "block")
     lead = F.min(F.struct("key", "at")).over(Window.partitionBy("tie"))
     across = dealt.mapInArrow(_open, REPEATS).withColumn("lead", lead).filter("struct(key, at) > lead").drop("lead")
     repeats = dealt.mapInArrow(_firm, REPEATS).union(across).groupBy("key", "version").agg(F.collect_list(F.struct("at", "until")).alias("repeats"))
-    both = base.join(held, ["key", "version"], "left").join(repeats, ["key", "version"], "left")
+    both = base.join(held.withColumn("segments", gone), ["key", "version"], "left").join(repeats, ["key", "version"], "left")
     return both.select("doc_id", "text", "segments", "repeats").mapInArrow(_clean, CLEANED)
