@@ -126,8 +126,8 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = t.table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"])
-    return keep_latest(runs, 5_000, ["l_returnflag"], ["l_orderkey", "l_linenumber"])
+    runs = t.table(spark, sf_dir, "events", ["event_type", "event_id", "user_id", "value"])
+    return keep_latest(runs, 1_500, ["event_type"], ["event_id"])
 
 
 def text_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,8 +232,8 @@ QUERIES = {
     ),
     "s7_keep_latest_many": (
         latest_many,
-        "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem "
-        "QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey DESC, l_linenumber DESC) <= 5000",
+        "SELECT event_type, event_id, user_id, value FROM events "
+        "QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 1500",
     ),
     "p1_select_text_conversations": (text_from_conversations, q.rendered(q.ROLE_PREFIX)),
     "p1_select_text_text": (text_from_text, "SELECT doc_id, text FROM documents"),
