@@ -220,6 +220,35 @@ WITH captures AS (
 )
 SELECT page_id, c.url, c.fetched_us, coalesce(n, 0) AS n_active, coalesce(patterns, '') AS patterns, coalesce(n, 0) > 0 AS blocked
 FROM captures c LEFT JOIN found f ON c.url = f.url AND c.fetched_us = f.fetched_us
+""",
+    "op11_phrase_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM worded, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m
+), f AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS n FROM places GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(n) AS n FROM f WHERE m = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND n >= 100
+), taken AS (
+    SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN (
+        SELECT lang, a, array_to_string(w[1:m - 1], ' ') AS phrase FROM candidates UNION ALL
+        SELECT lang, a, array_to_string(w[2:m], ' ') FROM candidates) x ON x.lang = c.lang AND x.phrase = c.phrase AND x.a >= c.a
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates ANTI JOIN taken USING (lang, phrase))
+), scored AS (
+    SELECT c.lang, c.phrase, a, h.n AS l, r.n AS r, t.n::BIGINT AS n, (1000::HUGEINT * a * t.n // (h.n::HUGEINT * r.n))::BIGINT AS score
+    FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = head JOIN f r ON r.lang = c.lang AND r.phrase = rest JOIN totals t ON t.lang = c.lang
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored QUALIFY rank <= 2000
 """,
     "op12_merkle_manifest": _manifest_sql(),
     "op13_warc_archives": f"""
