@@ -36,6 +36,8 @@ from millrace.llm.html_tree import BLOCK, Page, read
 EXAMPLES = 2_000
 STEPS = 150
 SMOOTHING = 1.0
+#: The evidence of an element without any text. It says nothing about the elements around it.
+EMPTY = "links -1"
 PENALTY = 2.0
 
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -69,7 +71,7 @@ def features(page: Page) -> list[list[str]]:
         share = 4 * links[k] // text[k] if text[k] else -1
         own = [f"tag {node.tag}", f"all {_size(text[k])}", f"own {_kind(node.tag)} {_size(node.text)}", f"links {share}", f"stops {_size(stops[k])} {share > 0}"]
         names = " ".join(node.attributes[a] for a in ("class", "id", "role", "aria-label", "itemprop") if a in node.attributes)
-        own += [f"name {w}" for w in _name_words(names[:400])]
+        own += [f"name {w}" for w in _name_words(names)]
         if "hidden" in node.attributes or "none" in node.attributes.get("style", ""):
             own.append("hidden")
         found.append(own)
@@ -94,6 +96,8 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = read(source)
             label = labels(page)
             for node, own, of in zip(page.nodes[1:], features(page)[1:], label[1:], strict=True):
+                if EMPTY in own:
+                    continue
                 evidence.append(own)
                 kinds.append(_kind(node.tag))
                 above.append(label[node.parent])
@@ -133,12 +137,17 @@ class TreeModel:
     def marginals(self, page: Page) -> list[float]:
         """The probability of each element to be content."""
         nodes, even = page.nodes, [[1.0, 1.0], [1.0, 1.0]]
-        own, ties = [], [even]
+        own, ties = [], []
         for node, found in zip(nodes, features(page), strict=True):
+            if EMPTY in found:
+                own.append([0.5, 0.5])
+                ties.append(even)
+                continue
+            ties.append(self.pairs.get(_kind(node.tag), even))
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(self.weights.get(x, 0.0) for x in found)))))
             own.append([1 - p, p])
         own[0] = [0.5, 0.5]
-        ties += [self.pairs.get(_kind(n.tag), even) for n in nodes[1:]]
+        ties[0] = even
         upward: list[list[float]] = [[1.0, 1.0]] * len(nodes)
         for k in range(len(nodes) - 1, 0, -1):  # children come after their parents
             (a, b), tie = own[k], ties[k]

@@ -12,10 +12,13 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style template textarea title iframe noframes svg math xmp".split())
+#: Elements whose content isn't shown as text of the page.
+_RAW = frozenset("script style template textarea title iframe noframes noscript svg".split())
+#: A slash that closes a tag; one that ends an unquoted value doesn't.
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "head header hr html label legend li main menu nav noscript ol option p pre search section select summary table tbody td tfoot th thead tr ul".split()
+    "head header hr html label legend li main menu nav noscript ol option p pre search section select summary table tbody td tfoot th thead tr ul xmp".split()
 )
 #: Inline elements that are only marks on their block's text, unless they carry a class or an id.
 _MARKS = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -57,11 +60,16 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def read(source: str) -> Page:
-    """The tree of a page; broken markup is read as far as it makes sense."""
+    """The tree of a page; broken markup is read as far as it makes sense.
+
+    What isn't shown (scripts, styles, drawings, notices for readers without scripts)
+    is left out up to its closing tag; without one, up to the end of its parent.
+    """
     nodes = [Node("#page", -1)]
     blocks: list[list[tuple[int, str]]] = [[]]
     stack: list[tuple[str, int]] = [("#page", 0)]  # tag, and the element its text belongs to
     opened: dict[str, int] = {}
+    endless: set[str] = set()  # tags of which no closing one is left
     at = 0
 
     def pop() -> None:
@@ -81,8 +89,9 @@ def read(source: str) -> Page:
             if stack[depth][0] in barrier:
                 return
 
-    def add(raw: str) -> None:
-        text = html.unescape(raw)
+    def add(text: str) -> None:
+        if any(map(opened.get, _RAW)):
+            return
         node = nodes[stack[-1][1]]
         blocks[-1].append((stack[-1][1], text))
         letters = len(text) - text.count(" ")
@@ -96,7 +105,7 @@ def read(source: str) -> Page:
         if m is None:
             break
         if m.start() > at:
-            add(source[at : m.start()])
+            add(html.unescape(source[at : m.start()]))
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
@@ -116,15 +125,27 @@ def read(source: str) -> Page:
                 blocks.append([])
         attributes = _attributes(m["attributes"])
         own = stack[-1][1]
-        if tag not in _MARKS or "class" in attributes or "id" in attributes:
+        formula = tag == "math" or opened.get("math")
+        if not formula and (tag not in _MARKS or "class" in attributes or "id" in attributes):
             nodes.append(Node(tag, own, attributes))
             own = len(nodes) - 1
-        if tag in _RAW:
-            close = re.compile(f"</{re.escape(tag)}(?![A-Za-z0-9-])[^>]*(?:>|\\Z)", re.I).search(source, at)
-            at = close.end() if close else len(source)
-        elif tag not in _VOID and not m["attributes"].endswith("/"):
-            stack.append((tag, own))
-            opened[tag] = opened.get(tag, 0) + 1
+        closed = _CLOSED.search(m["attributes"]) is not None
+        if tag in _VOID or (closed and tag not in _RAW - {"svg"}):
+            continue
+        if tag in _RAW or tag == "xmp":
+            close = None if tag in endless else re.compile(f"</{tag}(?![A-Za-z0-9-])[^>]*(?:>|\\Z)", re.I).search(source, at)
+            if close is None:
+                endless.add(tag)
+            elif tag == "xmp":
+                stack.append((tag, own))
+                add(source[at : close.start()])
+                stack.pop()
+                blocks.append([])
+            if close:
+                at = close.end()
+                continue
+        stack.append((tag, own))
+        opened[tag] = opened.get(tag, 0) + 1
     if at < len(source):
-        add(source[at:])
+        add(html.unescape(source[at:]))
     return Page(nodes, [b for b in blocks if b])
