@@ -2,8 +2,9 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read
 again as the next one's documents; all but the last return the columns of documents.
-Rows with a null doc_id pass stages 2 and 4 like any others; columns are matched by
-name, so further ones don't matter.
+A stage gives every row a number of its own and decides by it, so rows with a null or a
+repeated doc_id are judged each by itself, and one row of each group of near duplicates
+stays whatever their ids are. Further columns of the documents are dropped unread.
 """
 
 from __future__ import annotations
@@ -26,48 +27,53 @@ TARGETS = {"clean": 0.97, "junk": 0.03, "toxic": 0.0}
 VOLUME = 1.1
 
 
-def _by_row(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The documents joined with what was decided by doc_id, nulls among themselves.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a number of their own for each row, written."""
+    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
 
-    Rows that repeat a doc_id have to agree for it to stay: the least decision counts.
-    """
-    columns = [c for c in decided.columns if c != "doc_id"]
-    single = decided.groupBy("doc_id").agg(*(F.min(c).alias(f"_{c}") for c in columns)).withColumnRenamed("doc_id", "_id")
-    return docs.join(single, F.col("doc_id").eqNullSafe(F.col("_id")))
+
+def _nodes(keyed: DataFrame, *columns: str) -> DataFrame:
+    """The columns that an operator reads, with the row for the document's id."""
+    return keyed.select(F.col("row").alias("doc_id"), *columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the rules and their language's band of perplexity."""
-    kept = quality_rules(docs).select("doc_id", "kept")
-    return _by_row(docs, kept).filter("_kept").select(COLUMNS)
+    keyed = _keyed(docs)
+    kept = quality_rules(_nodes(keyed, "lang", "text")).filter("kept").select(F.col("doc_id").alias("row"))
+    return keyed.join(kept, "row", "left_semi").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: five words a shingle, similarity of 0.8 or more."""
-    kept = near_duplicates(docs, Banding(words=5, percent=80)).select("doc_id", "kept")
-    return _by_row(docs, kept).filter("_kept").select(COLUMNS)
+    """One document of each group, that with the least doc_id: five words a shingle, similarity of 0.8 or more."""
+    keyed = _keyed(docs)
+    found = near_duplicates(_nodes(keyed, "text"), Banding(words=5, percent=80)).select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = keyed.select("row", "doc_id").join(found, "row").groupBy("component_id").agg(first.alias("first")).select("first.row")
+    return keyed.join(kept, "row", "left_semi").select(COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
     text = redacted(F.col("text"), found_spans(F.col("text")))
-    return docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+    return docs.select(COLUMNS).withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at the rates that bring their domains to the target weights.
 
     No rate is above one, so a document stays at most once. Where a rate is below one,
-    a hash of the doc_id decides.
+    a hash of the doc_id and the text decides; rows equal in both share their fate.
     """
-    rates = mixed_rates(docs, table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS, VOLUME, highest=1.0).select("doc_id", "rate")
-    drawn = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
-    return _by_row(docs, rates).filter(drawn < F.col("_rate")).select(COLUMNS)
+    keyed = _keyed(docs)
+    rates = mixed_rates(keyed, table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS, VOLUME, highest=1.0, carried=["row"])
+    drawn = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit("")), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
+    return keyed.join(rates.select("row", "rate"), "row").filter(drawn < F.col("rate")).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4096 tokens with their places in sequences."""
-    return packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed(docs.select(COLUMNS), public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import slices
-from millrace.llm.mixing import label_sample
+from millrace.llm.mixing import label_sample, labelled_documents
 from millrace.llm.text_classifier import SHAPE, TAG_BUCKETS, WORD_BUCKETS, Design, Softmax, buckets_of, features, shape_of, tags_of
 
 SAMPLE = 8_000
@@ -132,8 +132,7 @@ def co_trained(docs: DataFrame, labels: DataFrame, good: Column, sample: int = S
     known = label_sample(docs, labels, good.cast("int"), sample)
     free = docs.select("doc_id").filter("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti").distinct()
     others = free.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("label", F.lit(None).cast("int"))
-    chosen = F.broadcast(known.unionByName(others))
-    held = docs.select("doc_id", "text", *METADATA).join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    held = labelled_documents(docs, known.unionByName(others), ("text", *METADATA))
     table = features(held, METADATA).toArrow().sort_by("doc_id")
     unlabelled = pc.is_null(table["label"])
     parts = [table.filter(pc.invert(unlabelled)), table.filter(unlabelled)]

@@ -13,19 +13,21 @@ Tokens are words ``[^\\x20\\x09-\\x0D]+``. The classifier is fitted on at most S
 labelled rows, those with the smallest hashes of their ids; all else uses all rows.
 
 Nulls and edges: a null text has no tokens and the posterior of an empty text; labels
-with a null or without a document say nothing. If no label is usable, every domain is
+with a null or without a document say nothing, of several labels of a document the
+least counts, and of documents that repeat an id the least text. If no label is usable, every domain is
 as likely. Every input row gives one row. Columns other than those named are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from millrace.llm.common import slices, written
 from millrace.llm.text_classifier import SHAPE, WORD_BUCKETS, Design, Softmax, buckets_of, features, shape_of
@@ -45,11 +47,17 @@ def design_of(texts: list[bytes]) -> tuple[Design, np.ndarray]:
 
 
 def label_sample(docs: DataFrame, labels: DataFrame, label: Column, size: int) -> DataFrame:
-    """At most ``size`` rows doc_id, label of documents with a label that isn't null."""
-    marked = labels.select("doc_id", label.alias("label")).filter("doc_id is not null and label is not null").dropDuplicates(["doc_id"])
+    """At most ``size`` rows doc_id, label of documents with a label that isn't null; of several labels the least counts."""
+    marked = labels.select("doc_id", label.alias("label")).filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
     return marked.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
 
 
+def labelled_documents(docs: DataFrame, chosen: DataFrame, columns: tuple[str, ...] = ("text",)) -> DataFrame:
+    """``doc_id, label`` and ``columns`` of the chosen documents; of rows that repeat an id the least counts."""
+    rows = docs.select("doc_id", F.struct(*columns).alias("r")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("r").alias("r")).select("doc_id", "label", "r.*")
+
+
 class Domains:
     """The posterior over named domains, from a table of labelled features."""
 
@@ -75,18 +83,20 @@ def _classify(domains):
                 design, tokens = design_of(texts)
                 p = domains.value.posteriors(design)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), p.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(tokens), lists], ["doc_id", "n_tokens", "posterior"])
+                others = [k for k in part.schema.names if k != "text"]
+                yield pa.RecordBatch.from_arrays([*map(part.column, others), pa.array(tokens), lists], [*others, "n_tokens", "posterior"])
 
     return classify
 
 
-def posteriors(docs: DataFrame, labels: DataFrame, label: Column, names: list[str], sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, n_tokens, posterior`` of each document (columns doc_id, text)."""
-    chosen = F.broadcast(label_sample(docs, labels, label, sample))
-    known = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+def posteriors(docs: DataFrame, labels: DataFrame, label: Column, names: list[str], sample: int = SAMPLE, carried: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, the columns ``carried``, ``n_tokens`` and ``posterior`` of each document (columns doc_id, text)."""
+    known = labelled_documents(docs, label_sample(docs, labels, label, sample))
     domains = Domains(names, features(known).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(domains)
-    return docs.select("doc_id", "text").mapInArrow(_classify(shared), "doc_id long, n_tokens long, posterior array<double>")
+    read = docs.select("doc_id", *carried, "text")
+    found = [StructField("n_tokens", LongType()), StructField("posterior", ArrayType(DoubleType()))]
+    return read.mapInArrow(_classify(shared), StructType([*read.drop("text").schema.fields, *found]))
 
 
 # --- rates ----------------------------------------------------------------------
@@ -126,7 +136,7 @@ def fit_errors(scored: DataFrame, targets: list[float], volume: float, highest:
     """
     errors: list[np.ndarray] = []
     while len(errors) < ROUNDS:
-        rows = scored.mapInArrow(_expected(errors, highest), "domain long, plain double, tokens double").groupBy("domain").agg(F.sum("plain").alias("plain"), F.sum("tokens").alias("tokens")).collect()
+        rows = scored.select("n_tokens", "posterior").mapInArrow(_expected(errors, highest), "domain long, plain double, tokens double").groupBy("domain").agg(F.sum("plain").alias("plain"), F.sum("tokens").alias("tokens")).collect()
         if not rows:
             break
         plain, tokens = (np.array([r[c] for r in sorted(rows, key=lambda r: r["domain"])]) for c in ("plain", "tokens"))
@@ -147,8 +157,10 @@ def _rate(errors: list[np.ndarray], highest: float):
     return rate
 
 
-def mixed_rates(docs: DataFrame, labels: DataFrame, label: Column, targets: dict[str, float], volume: float = 1.0, highest: float = 8.0) -> DataFrame:
-    """``doc_id, n_tokens, posterior, rate`` of each document; the posterior in the order of ``targets``."""
-    scored = written(posteriors(docs, labels, label, list(targets)))
+def mixed_rates(
+    docs: DataFrame, labels: DataFrame, label: Column, targets: dict[str, float], volume: float = 1.0, highest: float = 8.0, carried: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id``, the columns ``carried``, ``n_tokens``, ``posterior``, ``rate`` of each document; the posterior in the order of ``targets``."""
+    scored = written(posteriors(docs, labels, label, list(targets), carried=carried))
     errors = fit_errors(scored, list(targets.values()), volume, highest)
-    return scored.mapInArrow(_rate(errors, highest), "doc_id long, n_tokens long, posterior array<double>, rate double")
+    return scored.mapInArrow(_rate(errors, highest), StructType([*scored.schema.fields, StructField("rate", DoubleType())]))

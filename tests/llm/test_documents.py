@@ -282,3 +282,15 @@ def test_passages_inside_a_document_and_edges(spark, edge_documents, no_document
     docs = spark.createDataFrame(loops, "doc_id long, text string")
     assert Counter(tuple(r) for r in without_repeats(docs).collect()) == cleaned(loops)
     assert without_repeats(no_documents).count() == 0
+
+
+def test_a_third_of_junk_is_rejected(spark):
+    """Junk under half of a language's rows moves neither centre nor width of the band."""
+
+    def junk(k):
+        letters = np.random.default_rng(k).integers(33, 127, (90, 8))
+        return " ".join(bytes(word).decode() for word in letters.astype(np.uint8).tolist())
+
+    rows = [(k, prose(k, 90), "en") for k in range(100)] + [(100 + k, junk(k), "en") for k in range(40)]
+    kept = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert sum(kept[k] for k in range(100)) >= 95 and not any(kept[k] for k in range(100, 140))

@@ -1,7 +1,11 @@
 """The stages of the pipeline on the smallest tables."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from millrace.llm.common import written
+from millrace.llm.mixing import label_sample
+from tests.llm.conftest import prose
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,3 +27,30 @@ def test_stages_take_edges(spark, edge_documents, no_documents):
     for docs in (edge_documents, no_documents):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SF_DIR).count() <= 4 * docs.count() + 40
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """Null and repeated ids, and columns named like the stages' own."""
+    texts = [prose(k, 80) for k in range(5)]
+    rows = [(None, t) for t in texts] + [(None, "short")] + [(9, prose(9, 70)), (9, "short too")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _kept boolean, row double, rate int"
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t), True, 1.0, 1) for k, t in rows], schema).withColumn("_id", F.lit(0))
+    kept = corpus_pipeline.keep_quality(spark, docs, SF_DIR).collect()
+    assert sorted(r.text for r in kept) == sorted([*texts, prose(9, 70)])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF_DIR).count() > 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    one, other = prose(1, 80), prose(2, 80)
+    rows = [(1, one), (1, one), (1, other), (None, one), (None, other), (None, one), (5, other), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted((r.doc_id or 0, r.text or "-") for r in kept) == sorted([(1, one), (1, other), (0, "-"), (0, "-")])
+
+
+def test_least_labels_count_however_rows_are_dealt(spark):
+    rows = [(k, label) for k in range(50) for label in (("junk", "clean") if k % 2 else ("clean", "junk"))]
+    labels, docs = spark.createDataFrame(rows, "doc_id long, label string"), spark.range(50).select(F.col("id").alias("doc_id"))
+    for parts in (1, 7):
+        assert {r.label for r in label_sample(docs, labels.repartition(parts), F.col("label"), 100).collect()} == {"clean"}
