@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.cotraining import quality_scores
 from millrace.llm.mixing import mixed_rates, replay
-from millrace.llm.nearest import nearest
+from millrace.llm.nearest import BLOCK, CollisionIndex, nearest, verified
 from millrace.llm.queries import DOMAIN, ORACLE_SQL, QUERIES, TARGETS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,6 +33,37 @@ def test_neighbours_are_nearly_those_of_brute_force(spark):
     assert hits >= 0.9 * len(got) and len(got) == 20 * sum(ids % 20 == 0)
 
 
+def directions(kind, n, seed=5):
+    draw = np.random.default_rng(seed)
+    x = draw.standard_normal((n, 64))
+    if kind == "clustered":
+        x = draw.standard_normal((200, 64))[draw.integers(0, 200, n)] + 0.6 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x * np.exp(0.5 * draw.standard_normal(n))[:, None] if kind == "unequal" else x
+
+
+@pytest.mark.parametrize("kind", ["unit", "clustered", "unequal"])
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_recall_in_full_blocks(kind, blocks):
+    """A set share of each block is verified, and nine of ten neighbours are found."""
+    x = directions(kind, blocks * BLOCK)
+    ids = np.arange(len(x))
+    parts = [CollisionIndex(ids[b::blocks], x[b::blocks]) for b in range(blocks)]
+    hits, queries = 0, range(0, 60)
+    for q in queries:
+        assert all(len(part.candidates(x[q], verified(BLOCK, 20))) <= 0.15 * BLOCK for part in parts)
+        found, scores = map(np.concatenate, zip(*(part.nearest(q, x[q], 20) for part in parts), strict=True))
+        exact = x @ x[q]
+        exact[q] = -np.inf
+        hits += len(set(found[np.argsort(-scores)[:20]].tolist()) & set(np.argsort(-exact)[:20].tolist()))
+    assert hits >= 0.9 * 20 * len(queries)
+
+
+def test_lengths_beyond_the_range_of_squares():
+    x = np.array([[1e200, 0.0], [1e200, 1e200], [1e-200, 0.0], [-1e-200, 1e-200]])
+    assert CollisionIndex(np.arange(4), x).nearest(2, x[2], 3)[0].tolist() == [0, 1, 3]
+
+
 def test_neighbour_edges(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [1.0]), (None, [1.0, 1.0]), (6, [1.0, None]), (7, [2.0, 5.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
