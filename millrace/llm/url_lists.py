@@ -5,15 +5,19 @@ An entry names a pattern, a time and an action. A pattern is ``host=`` and a hos
 first segments of a path. ``add`` opens an interval for its pattern, which lasts up to
 the pattern's next entry; of entries dated alike a removal counts last.
 
-A capture looks up the patterns its URL falls under. The join is an equality of
-pattern and day, with the exact times compared after it: an interval stands once for
-each day it touches, so that a host with a third of all captures is spread over days,
-and adaptive joins split what is still large. Equal captures are looked up once.
+A capture looks up the patterns its URL falls under. The as-of join goes by pattern and
+day: an interval stands once on the day it begins, and a window over the days on which a
+pattern was captured carries the latest interval to those it is still open on. However
+long an interval is, it costs one row and one for each such day. Pattern and day are
+then joined by equality and exact times compared, so that a host with a third of all
+captures is spread over days, and adaptive joins split what is still large. Equal
+captures are looked up once.
 
 Nulls and edges: entries with a null in any column, or an unknown action, say nothing.
 A capture with a null URL or time, or a URL without a host, matches nothing and is
-allowed. Every capture row gives one row; all its columns are kept, in front of
-``n_active``, ``patterns`` and ``blocked``, which replace columns of these names.
+allowed. Dots at the end of a host don't count. Every capture row gives one row; all its
+columns are kept, whatever their names, in front of ``n_active``, ``patterns`` and
+``blocked``, which replace columns of these names.
 
 Only DataFrame functions run, no Python on the executors.
 """
@@ -23,11 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import written
+
 DAY = 86_400_000_000
 
 
 def host_of(url: Column) -> Column:
-    return F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)
+    return F.rtrim(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1), F.lit("."))
 
 
 def path_of(url: Column) -> Column:
@@ -57,18 +63,32 @@ def intervals(entries: DataFrame) -> DataFrame:
     return known.withColumn("valid_to", F.lead("at").over(by_time)).filter("action = 'add' and (valid_to is null or valid_to > at)").select("pattern", F.col("at").alias("valid_from"), "valid_to")
 
 
+def _by_day(opened: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pattern, day, valid_from, valid_to``: what may be active on the days wanted (pattern, day).
+
+    Of a pattern's intervals, which don't overlap, only the latest of earlier days can
+    still be open when a day begins.
+    """
+    begun = opened.withColumn("day", F.floor(F.col("valid_from") / DAY))
+    latest = begun.groupBy("pattern", "day").agg(F.max(F.struct("valid_from", "valid_to")).alias("latest"), F.lit(False).alias("asked"))
+    asked = wanted.distinct().select("pattern", "day", F.lit(None).cast(latest.schema["latest"].dataType).alias("latest"), F.lit(True).alias("asked"))
+    days = latest.union(asked).groupBy("pattern", "day").agg(F.max("latest").alias("latest"), F.max("asked").alias("asked"))
+    before = Window.partitionBy("pattern").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.withColumn("open", F.last("latest", ignorenulls=True).over(before)).filter("asked and open is not null")
+    still = carried.select("pattern", "day", "open.*").filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("day") * DAY))
+    return begun.select("pattern", "day", "valid_from", "valid_to").union(still)
+
+
 def temporal_list_join(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "at") -> DataFrame:
     """The captures with the list patterns active when each was fetched."""
-    wanted = captures.select(F.col(url).alias("url"), F.col(at).alias("at")).filter("url is not null and at is not null").distinct()
-    last = wanted.agg(F.max("at")).first()[0] or 0
+    rows = captures.select(F.struct(*captures.drop("n_active", "patterns", "blocked").columns).alias("capture"), F.col(url).alias("url"), F.col(at).alias("at"))
+    wanted = rows.select("url", "at").filter("url is not null and at is not null").distinct()
+    opened = written(intervals(entries))
     day = F.floor(F.col("at") / DAY)
     looked = wanted.select("url", "at", day.alias("day"), F.explode(patterns_of(F.col("url"))).alias("pattern"))
-    first_day = F.floor(F.col("valid_from") / DAY)
-    last_day = F.floor(F.least(F.coalesce("valid_to", F.lit(last)), F.lit(last)) / DAY)
-    daily = intervals(entries).filter(F.col("valid_from") <= last).withColumn("day", F.explode(F.sequence(first_day, F.greatest(first_day, last_day))))
-    active = looked.join(daily, ["pattern", "day"]).filter("valid_from <= at and (valid_to is null or at < valid_to)")
-    found = active.groupBy("url", "at").agg(F.array_sort(F.collect_set("pattern")).alias("found")).select(F.col("url").alias("_url"), F.col("at").alias("_at"), "found")
-    kept = captures.drop("n_active", "patterns", "blocked")
-    both = kept.join(found, (kept[url] == found["_url"]) & (kept[at] == found["_at"]), "left")
+    listed = written(looked.join(opened.select("pattern").distinct(), "pattern", "left_semi"))
+    active = listed.join(_by_day(opened, listed.select("pattern", "day")), ["pattern", "day"]).filter("valid_from <= at and (valid_to is null or at < valid_to)")
+    found = active.groupBy("url", "at").agg(F.array_sort(F.collect_set("pattern")).alias("found"))
+    both = rows.join(found, ["url", "at"], "left")
     number = F.when(F.col("found").isNull(), 0).otherwise(F.size("found")).cast("long")
-    return both.select(*(kept[c] for c in kept.columns), number.alias("n_active"), F.coalesce(F.array_join("found", ","), F.lit("")).alias("patterns"), (number > 0).alias("blocked"))
+    return both.select("capture.*", number.alias("n_active"), F.coalesce(F.array_join("found", ","), F.lit("")).alias("patterns"), (number > 0).alias("blocked"))

@@ -9,6 +9,7 @@ from millrace.llm.cotraining import quality_scores
 from millrace.llm.mixing import mixed_rates, replay
 from millrace.llm.nearest import BLOCK, CollisionIndex, nearest, verified
 from millrace.llm.queries import DOMAIN, ORACLE_SQL, QUERIES, TARGETS
+from millrace.llm.url_lists import DAY, _by_day, intervals, temporal_list_join
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -82,6 +83,34 @@ def test_url_lists_equal_their_sql(spark):
     assert as_text(got) == as_text(expected) and got["blocked"].any()
 
 
+YEARS = 20 * 365 * DAY
+
+
+def test_url_lists_over_time(spark):
+    """Ties, nulls, long open entries, captures far ahead and columns named like the join's own."""
+    entries = [("domain=b.com", 10, "add"), ("host=a.b.com", 5, "add"), ("host=a.b.com", 5, "remove"), ("prefix=a.b.com/x", DAY, "add"), ("prefix=a.b.com/x", 3 * DAY, "remove")]
+    entries += [(None, 1, "add"), ("host=a.b.com", None, "add"), ("host=a.b.com", 1, None), ("host=a.b.com", 1, "other")]
+    captures = [(1, "http://a.b.com/x/y", 9), (2, "http://a.b.com/x/y", 10), (3, "http://A.b.com./x", 2 * DAY), (3, "http://A.b.com./x", 2 * DAY), (4, "http://a.b.com/x", 3 * DAY)]
+    captures += [(5, "https://b.com", YEARS), (6, "http://c.com/", 50), (7, None, 50), (8, "http://b.com", None), (9, "no host", 50), (10, "http://b.com", 400 * YEARS)]
+    table = spark.createDataFrame([(*c, 0, "f", 1, 2) for c in captures], "id long, url string, at long, n_active int, found string, _url int, day int")
+    listed = spark.createDataFrame(entries, "pattern string, at long, action string")
+    rows = temporal_list_join(table, listed)
+    assert rows.columns == ["id", "url", "at", "found", "_url", "day", "n_active", "patterns", "blocked"]
+    one, both = "domain=b.com", "domain=b.com,prefix=a.b.com/x"
+    expected = {1: "", 2: one, 3: both, 4: one, 5: one, 6: "", 7: "", 8: "", 9: "", 10: one}
+    got = rows.collect()
+    assert {r.id: r.patterns for r in got} == expected and len(got) == len(captures)
+    assert all((r.n_active, r.blocked) == (len(r.patterns.split(",")) if r.patterns else 0, r.patterns != "") for r in got)
+    assert temporal_list_join(table.limit(0), listed).count() == 0
+    assert {r.patterns for r in temporal_list_join(table, listed.limit(0)).collect()} == {""}
+
+
+def test_an_open_entry_costs_no_row_for_each_day(spark):
+    opened = intervals(spark.createDataFrame([("host=a", 0, "add")], "pattern string, at long, action string"))
+    wanted = spark.createDataFrame([("host=a", YEARS // DAY), ("host=a", 7), ("host=b", 7)], "pattern string, day long")
+    assert sorted(r.day for r in _by_day(opened, wanted).collect()) == [0, 7, YEARS // DAY]
+
+
 def test_pages_have_one_row_each(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     rows = QUERIES["op1_html_content"](spark, SF_DIR).collect()
