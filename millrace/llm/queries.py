@@ -262,3 +262,46 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda
 FROM digested
 """,
 }
+
+#: Words of documents, upper-case ASCII letters as they are or in lower case.
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op7_near_duplicates"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+sets AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingles
+    FROM words
+),
+single AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reached(doc_id, node) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.node = links.a
+),
+components AS (SELECT doc_id, min(node) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN components USING (doc_id)
+"""
+
+ORACLE_SQL["op10_substring_dedup"] = f"""
+WITH words AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS head FROM words),
+windows AS (SELECT doc_id, head, row_number() OVER (PARTITION BY array_to_string(w[head:head + 19], ' ') ORDER BY doc_id, head) AS turn FROM starts),
+removed AS (SELECT DISTINCT doc_id, head + k AS place FROM windows, range(20) AS t(k) WHERE turn > 1),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words),
+left_over AS (
+    SELECT doc_id, count(removed.place) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (removed.place IS NULL) AS kept
+    FROM placed LEFT JOIN removed USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (doc_id)
+"""
