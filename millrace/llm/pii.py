@@ -7,8 +7,9 @@ same pattern: a match starts after all pieces and matches before it.
 
 The patterns say the same as the plain ones in their comments. Possessive
 quantifiers keep the matcher from backtracking over long runs, and a look-behind
-lets a match begin only where a run begins or the last match ended, so a very long
-text takes time in proportion to its length.
+lets a match begin only where a run begins or the last match ended, so matching takes
+time in proportion to a text's length. Adding up positions takes time by the square of
+the number of matches in one text.
 
 Nulls and edges: a null text is empty and has no spans; every input row gives one
 row; repeated rows give equal rows. Columns other than those named are passed on by
