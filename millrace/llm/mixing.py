@@ -4,10 +4,13 @@ A classifier fitted on labelled rows gives every document a posterior over domai
 Rates, one for each document and never negative, are then fitted so that the expected
 tokens of the domains, rates times tokens times posteriors, come near their targets:
 least squares with errors relative to a domain's present size, and a light pull of
-every rate towards one. The descent is a projected gradient: each round, Spark sums
-the expected tokens of all domains over all documents, and the next step of every rate
-follows from those few sums and the document's own posterior. Tasks therefore replay
-the steps from the list of past sums; rates are never gathered.
+every rate towards one. Documents whose posteriors round alike share a rate, so Spark
+first adds the documents up by rounded posterior. The descent is a projected gradient
+with momentum: each round, Spark sums the expected tokens of all domains, and the next
+step of every rate follows from those few sums and the rounded posterior. Tasks
+therefore replay the steps from the list of past sums; rates are never gathered. The
+descent ends where rates are known to be near the best ones, and says what errors are
+left: targets that no rates can reach leave some.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``. The classifier is fitted on at most SAMPLE
 labelled rows, those with the smallest hashes of their ids; all else uses all rows.
@@ -21,6 +24,7 @@ as likely. Every input row gives one row. Columns other than those named are not
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +39,10 @@ from millrace.llm.text_classifier import SHAPE, WORD_BUCKETS, Design, Softmax, b
 #: The most labelled rows that the classifier is fitted on.
 SAMPLE = 6_000
 PULL = 1e-3
-ROUNDS = 60
-TOLERANCE = 1e-5
+#: Posteriors are told apart in steps of one part in so many.
+GRID = 200
+#: How near rates come to the best ones.
+WITHIN = 0.01
 
 
 def design_of(texts: list[bytes]) -> tuple[Design, np.ndarray]:
@@ -102,57 +108,106 @@ def posteriors(docs: DataFrame, labels: DataFrame, label: Column, names: list[st
 # --- rates ----------------------------------------------------------------------
 
 
-def replay(p: np.ndarray, errors: list[np.ndarray], highest: float) -> np.ndarray:
-    """Rates after the steps that past errors make, from one."""
-    rates = np.ones(len(p))
-    for error in errors:
-        rates = np.clip(rates - (p @ error + PULL * (rates - 1)) / (1 + PULL), 0.0, highest)
-    return rates
+@dataclass
+class Step:
+    """What a round leaves: the domains' relative errors, and the share of its movement that the next one adds."""
 
+    errors: np.ndarray
+    momentum: float = 0.0
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    lists = batch.column("posterior")
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
+@dataclass
+class Place:
+    """Rates after some steps: those of the last step, where the next one starts, and how they got there."""
+
+    rates: np.ndarray
+    ahead: np.ndarray
+    moved: np.ndarray
+    #: How far the last step went from where it started.
+    pulled: np.ndarray
+
+
+def replay(p: np.ndarray, steps: list[Step], highest: float) -> Place:
+    """Rates that past steps make of one, for rows of posteriors."""
+    rates = ahead = np.ones(len(p))
+    moved = pulled = np.zeros(len(p))
+    for step in steps:
+        new = np.clip(ahead - (p @ step.errors + PULL * (ahead - 1)) / (1 + PULL), 0.0, highest)
+        moved, pulled, rates = new - rates, new - ahead, new
+        ahead = rates + step.momentum * moved
+    return Place(rates, ahead, moved, pulled)
+
+
+def cells(scored: DataFrame, width: int) -> DataFrame:
+    """``cell, tokens, expected``: documents whose posteriors round alike, their tokens and expected tokens by domain.
+
+    ``cell`` is the posterior in units of a GRID-th, so there are no more of them than such
+    posteriors, however many documents there are.
+    """
+    sums = F.array(*(F.sum(F.col("n_tokens") * F.col("posterior")[k]) for k in range(width)))
+    return scored.groupBy(_cell().alias("cell")).agg(F.sum("n_tokens").alias("tokens"), sums.alias("expected"))
+
+
+def _cell() -> Column:
+    return F.transform("posterior", lambda p: F.rint(p * GRID).cast("int"))
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _expected(steps: list[Step], highest: float, width: int):
+    """Sums of a part of the cells: tokens of each domain as they are, and at the rates ahead; then tokens, and two sums of the last step."""
 
-def _expected(errors: list[np.ndarray], highest: float):
     def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total = np.zeros(2 * width + 3)
         for batch in batches:
             if batch.num_rows:
-                p, tokens = _matrix(batch), batch.column("n_tokens").to_numpy()
-                sums = np.stack([tokens @ p, (tokens * replay(p, errors, highest)) @ p])
-                total = sums if total is None else total + sums
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.shape[1])), pa.array(total[0]), pa.array(total[1])], ["domain", "plain", "tokens"])
+                at = replay(_matrix(batch.column("cell"), width) / GRID, steps, highest)
+                tokens, sums = batch.column("tokens").to_numpy().astype(np.float64), _matrix(batch.column("expected"), width)
+                total += np.concatenate([sums.sum(axis=0), at.ahead @ sums, [tokens.sum(), tokens @ at.pulled**2, -(tokens * at.pulled) @ at.moved]])
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
 
     return expected
 
 
-def fit_errors(scored: DataFrame, targets: list[float], volume: float, highest: float) -> list[np.ndarray]:
-    """The relative errors of each round, from which every rate follows.
+@dataclass
+class Fit:
+    """The steps from which every rate follows, and the relative errors of the domains that are left."""
+
+    steps: list[Step]
+    left: list[float]
 
-    ``volume`` is the total asked for, as a multiple of the tokens there are.
+
+def fitted(grouped: DataFrame, targets: list[float], volume: float, highest: float) -> Fit:
+    """Descends over written cells until rates are within WITHIN of the best ones.
+
+    ``volume`` is the total asked for, as a multiple of the tokens there are. The pull
+    makes the problem strongly convex: the rates' distance from the best ones, as a root
+    mean square over tokens, is at most the last step's length over PULL. Momentum starts
+    anew where a step turned against the movement before; that is seen a round later.
     """
-    errors: list[np.ndarray] = []
-    while len(errors) < ROUNDS:
-        rows = scored.select("n_tokens", "posterior").mapInArrow(_expected(errors, highest), "domain long, plain double, tokens double").groupBy("domain").agg(F.sum("plain").alias("plain"), F.sum("tokens").alias("tokens")).collect()
-        if not rows:
-            break
-        plain, tokens = (np.array([r[c] for r in sorted(rows, key=lambda r: r["domain"])]) for c in ("plain", "tokens"))
+    width, steps, weight = len(targets), [], 1.0
+    while True:
+        partial = grouped.mapInArrow(_expected(steps, highest, width), "sums array<double>").collect()
+        sums = np.sum([r["sums"] for r in partial], axis=0) if partial else np.zeros(2 * width + 3)
+        plain, tokens, (n, length, turned) = sums[:width], sums[width : 2 * width], sums[2 * width :]
         present = np.maximum(plain, 1e-6 * plain.sum()) + 1e-12
-        error = (tokens - np.array(targets) * volume * plain.sum()) / present
-        if errors and np.abs(error - errors[-1]).max() < TOLERANCE:
-            break
-        errors.append(error)
-    return errors
+        errors = (tokens - np.array(targets) * volume * plain.sum()) / present
+        if not n or steps and np.sqrt(length / n) <= WITHIN * PULL:
+            return Fit(steps, errors.tolist())
+        grown = 1.0 if turned > 0 else (1 + np.sqrt(1 + 4 * weight * weight)) / 2
+        steps.append(Step(errors, (weight - 1) / grown if grown > 1 else 0.0))
+        weight = grown
 
 
-def _rate(errors: list[np.ndarray], highest: float):
+def _rate(fit: Fit, highest: float, width: int):
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rates = replay(_matrix(batch), errors, highest) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates)], [*batch.schema.names, "rate"])
+            own, at = np.unique(np.rint(_matrix(batch.column("posterior"), width) * GRID), axis=0, return_inverse=True)
+            rates = replay(own / GRID, fit.steps, highest).rates[at.ravel()] if batch.num_rows else np.zeros(0)
+            left = pa.array([fit.left] * batch.num_rows, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates), left], [*batch.schema.names, "rate", "left"])
 
     return rate
 
@@ -160,7 +215,11 @@ def _rate(errors: list[np.ndarray], highest: float):
 def mixed_rates(
     docs: DataFrame, labels: DataFrame, label: Column, targets: dict[str, float], volume: float = 1.0, highest: float = 8.0, carried: Sequence[str] = ()
 ) -> DataFrame:
-    """``doc_id``, the columns ``carried``, ``n_tokens``, ``posterior``, ``rate`` of each document; the posterior in the order of ``targets``."""
+    """``doc_id``, the columns ``carried``, ``n_tokens``, ``posterior``, ``rate`` and ``left`` of each document.
+
+    Posteriors and the relative errors ``left``, the same in every row, are in the order of ``targets``.
+    """
     scored = written(posteriors(docs, labels, label, list(targets), carried=carried))
-    errors = fit_errors(scored, list(targets.values()), volume, highest)
-    return scored.mapInArrow(_rate(errors, highest), StructType([*scored.schema.fields, StructField("rate", DoubleType())]))
+    fit = fitted(written(cells(scored, len(targets))), list(targets.values()), volume, highest)
+    added = [StructField("rate", DoubleType()), StructField("left", ArrayType(DoubleType()))]
+    return scored.mapInArrow(_rate(fit, highest, len(targets)), StructType([*scored.schema.fields, *added]))

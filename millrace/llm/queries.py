@@ -76,7 +76,8 @@ TARGETS = {"clean": 0.95, "junk": 0.05, "toxic": 0.0}
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = mixed_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS)
     shares = [F.col("posterior")[k].alias(f"p_{name}") for k, name in enumerate(TARGETS)]
-    return rates.select("doc_id", "n_tokens", *shares, "rate")
+    left = [F.col("left")[k].alias(f"left_{name}") for k, name in enumerate(TARGETS)]
+    return rates.select("doc_id", "n_tokens", *shares, "rate", *left)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm.cotraining import quality_scores
-from millrace.llm.mixing import mixed_rates, replay
+from millrace.llm.cotraining import View, designs, lesson, lessons_of_all, quality_scores, record_features
+from millrace.llm.mixing import GRID, PULL, WITHIN, Step, mixed_rates, replay
 from millrace.llm.nearest import BLOCK, CollisionIndex, nearest, verified
 from millrace.llm.queries import DOMAIN, ORACLE_SQL, QUERIES, TARGETS
+from millrace.llm.text_classifier import SHAPE, TAG_BUCKETS, WORD_BUCKETS
 from millrace.llm.url_lists import DAY, _by_day, intervals, temporal_list_join
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -129,6 +132,18 @@ def test_quality_scores_of_rows_held_out(spark):
     assert np.mean([(scores[k] >= 0.5) == g for k, g in marks.items() if k in scores and g is not None]) > 0.9
 
 
+def test_every_document_outside_the_sample_teaches(spark):
+    """Sums over all rows, however they are dealt out, are those of one table in memory."""
+    rows = record_features(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
+    whole, rng = rows.toArrow(), np.random.default_rng(3)
+    views = [View(rng.normal(0, wide, size), rng.normal(0, 1, width + 1), np.zeros(width), np.ones(width)) for size, width, wide in ((WORD_BUCKETS, SHAPE, 0.3), (TAG_BUCKETS, 0, 3))]
+    sample = pa.array([0, 3, 5, 10_000])
+    want = lesson(views, views, designs(whole.filter(pc.invert(pc.is_in(whole["doc_id"], sample)))))
+    assert sum(want[at] for at in (0, 1 + 2 * WORD_BUCKETS + SHAPE + 1)) > 20
+    for parts in (1, 7):
+        assert np.allclose(lessons_of_all(rows.repartition(parts), views, views, sample), want)
+
+
 def test_rates_bring_tokens_to_their_targets(spark, labels):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = mixed_rates(docs, labels, F.expr(DOMAIN), TARGETS).collect()
@@ -140,10 +155,26 @@ def test_rates_bring_tokens_to_their_targets(spark, labels):
 
 def test_replayed_rates_stay_within_bounds():
     p = np.array([[1.0, 0.0], [0.0, 1.0]])
-    rates = replay(p, [np.array([3.0, -30.0])], 8.0)
+    rates = replay(p, [Step(np.array([3.0, -30.0]))], 8.0).rates
     assert rates.tolist() == [0.0, 8.0]
 
 
+@pytest.mark.parametrize(("targets", "volume", "highest"), [((0.95, 0.05, 0.0), 1.0, 8.0), ((0.97, 0.03, 0.0), 1.1, 1.0), ((0.1, 0.1, 0.8), 1.0, 2.0)])
+def test_rates_are_near_those_of_plain_descent(spark, labels, targets, volume, highest):
+    """Many plain steps over all documents; the second and third targets are out of reach, and ``left`` says so."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = mixed_rates(docs, labels, F.expr(DOMAIN), dict(zip(TARGETS, targets, strict=True)), volume, highest).collect()
+    p, tokens, got = (np.array([r[c] for r in rows]) for c in ("posterior", "n_tokens", "rate"))
+    rounded, plain = np.rint(p * GRID) / GRID, tokens @ p
+    present, rates = np.maximum(plain, 1e-6 * plain.sum()), np.ones(len(p))
+    for _ in range(20_000):
+        errors = ((tokens * rates) @ p - np.array(targets) * volume * plain.sum()) / present
+        rates = np.clip(rates - (rounded @ errors + PULL * (rates - 1)) / (1 + PULL), 0, highest)
+    assert np.sqrt(tokens @ (got - rates) ** 2 / tokens.sum()) < 2 * WITHIN
+    assert np.abs(np.array(rows[0].left) - errors).max() < 0.01
+    assert highest == 8 or max(np.abs(rows[0].left)) > 0.05
+
+
 def test_classifier_edges(spark, edge_documents, no_documents, labels):
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     for of in (labels, labels.limit(0)):
