@@ -21,6 +21,7 @@ half. Every input row gives one row. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -45,8 +46,10 @@ SURE = 0.95
 HELD = 0.3
 PENALTY = 1.0
 METADATA = ("lang", "source", "size")
-#: Sums travel in pieces of so many numbers.
-PIECE = 1 << 13
+#: Sums travel in pieces of so many numbers, packed, as most are zero in a small task.
+PIECE = 1 << 14
+#: Rows of features that a task looks at together.
+ROWS = 2_000
 
 
 def record_features(docs: DataFrame) -> DataFrame:
@@ -123,12 +126,12 @@ def _lessons(shared, sample: pa.Array):
         total = None
         for batch in batches:
             free = batch.filter(pc.invert(pc.is_in(batch.column("doc_id"), sample)))
-            if free.num_rows:
-                sums = lesson(*shared.value, designs(free))
+            for start in range(0, free.num_rows, ROWS):
+                sums = lesson(*shared.value, designs(free.slice(start, ROWS)))
                 total = sums if total is None else total + sums
         if total is not None:
-            pieces = [total[k : k + PIECE] for k in range(0, len(total), PIECE)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.list_(pa.float64()))], ["piece", "sums"])
+            pieces = [total[k : k + PIECE].astype(np.float32).tobytes() for k in range(0, len(total), PIECE)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array([zlib.compress(x, 1) for x in pieces], pa.binary())], ["piece", "sums"])
 
     return lessons
 
@@ -138,19 +141,20 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for piece, sums in zip(batch.column("piece").to_pylist(), batch.column("sums"), strict=True):
-            values = sums.values.to_numpy()
-            total[piece] = total[piece] + values if piece in total else values
-    yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(total.values(), pa.list_(pa.float64()))], ["piece", "sums"])
+            values = np.frombuffer(zlib.decompress(sums.as_py()), np.float32)
+            total[piece] = total[piece] + values if piece in total else values.astype(np.float64)
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["piece", "sums"])
 
 
 def lessons_of_all(rows: DataFrame, views: list[View], teachers: list[View], sample: pa.Array) -> np.ndarray | None:
     """The lesson of all rows of features outside the sample; None if there are none."""
     shared = rows.sparkSession.sparkContext.broadcast((views, teachers))
-    schema = "piece int, sums array<double>"
+    schema = "piece int, sums binary"
     partial = rows.mapInArrow(_lessons(shared, sample), schema)
     pieces = partial.repartition("piece").mapInArrow(_added, schema).toArrow().sort_by("piece")
     shared.unpersist()
-    return pieces["sums"].combine_chunks().flatten().to_numpy() if pieces.num_rows else None
+    return np.frombuffer(b"".join(pieces["sums"].to_pylist())) if pieces.num_rows else None
 
 
 class Taught:
@@ -266,9 +270,10 @@ def co_trained(rows: DataFrame, docs: DataFrame, labels: DataFrame, good: Column
 def _score(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                found = model.value.scores(designs(batch))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(found[:, k]) for k in range(3))], ["doc_id", "score", "text_score", "metadata_score"])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                found = model.value.scores(designs(part))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(found[:, k]) for k in range(3))], ["doc_id", "score", "text_score", "metadata_score"])
 
     return score
 
