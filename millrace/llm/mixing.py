@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,9 @@ SAMPLE = 6_000
 PULL = 1e-3
 #: Posteriors are told apart in steps of one part in so many.
 GRID = 200
+#: Cells of a task, and where their tasks follow the shuffle instead of the most cells there can be.
+CELLS = 100_000
+MANY = 200
 #: How near rates come to the best ones.
 WITHIN = 0.01
 
@@ -145,7 +149,10 @@ def cells(scored: DataFrame, width: int) -> DataFrame:
     posteriors, however many documents there are.
     """
     sums = F.array(*(F.sum(F.col("n_tokens") * F.col("posterior")[k]) for k in range(width)))
-    return scored.groupBy(_cell().alias("cell")).agg(F.sum("n_tokens").alias("tokens"), sums.alias("expected"))
+    grouped = scored.groupBy(_cell().alias("cell")).agg(F.sum("n_tokens").alias("tokens"), sums.alias("expected"))
+    # Rounding adds up to half a unit a domain to the whole: no more cells than such sums.
+    most = comb(GRID + width // 2 + width, width) - comb(GRID - width // 2 - 1 + width, width)
+    return grouped.repartition(1 + most // CELLS) if most < MANY * CELLS else grouped
 
 
 def _cell() -> Column:
