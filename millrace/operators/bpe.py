@@ -27,12 +27,13 @@ from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.merge import merge_symbols
 from millrace.functions.text import SPECIAL_TOKENS, byte_symbols
 from millrace.operators.words import alphabet
 from millrace.session import cut_lineage
@@ -47,6 +48,9 @@ MAX_VOCABULARY = 0x110000 - 0x800 - FIRST_CHARACTER
 # Bounds on what one round may bring to the driver.
 MAX_PIECES = 30_000
 MAX_PIECE_LENGTH = 2_000
+# Bits of a character, and the pairs a task adds up before it hands them on.
+CHARACTER_BITS = 21
+HELD_PAIRS = 1_000_000
 ROUNDS_PER_CHECKPOINT = 4
 WORDS_PER_TASK = 250_000
 
@@ -91,22 +95,22 @@ def train_bpe(
             "".join(letters),
             "".join(tokens.character[letter] for letter in letters),
         ).alias("symbols"),
-        "n",
+        F.coalesce(F.col("n").cast("long"), F.lit(0)).alias("n"),
     )
     words = words.filter(F.length("symbols") > 1).persist(StorageLevel.MEMORY_AND_DISK)
     merges: list[tuple[str, str]] = []
     rounds, reach, previous = 0, min(width, 64), None
     while len(tokens) < vocab_size:
-        picked, used, n_pieces = _pick_merges(words, tokens, vocab_size, min_frequency, reach)
+        found = _pick_merges(words, tokens, vocab_size, min_frequency, reach)
         if previous is not None:
             previous.unpersist()
-        if not picked:
+        if not found.picked:
             break
-        merges += [(tokens.token[pair[0]], tokens.token[pair[1]]) for pair, _ in picked]
+        merges += [(tokens.token[pair[0]], tokens.token[pair[1]]) for pair, _ in found.picked]
         rounds += 1
-        reach = min((4 if 8 * n_pieces < MAX_PIECES else 2) * used, width)
+        reach = min((4 if 8 * found.n_pieces < MAX_PIECES else 2) * len(found.pairs), width)
         previous = words
-        words = _rewrite(words, picked).filter(F.length("symbols") > 1)
+        words = _rewrite(words, found).filter(F.length("symbols") > 1)
         if rounds % ROUNDS_PER_CHECKPOINT == 0:
             words = cut_lineage(words)
         words = words.persist(StorageLevel.MEMORY_AND_DISK)
@@ -178,36 +182,94 @@ class _Tokens:
         return character, True
 
 
-def _pairs(symbols: Column) -> Column:
-    characters = F.split(symbols, "")
-    return F.zip_with(
-        F.slice(characters, F.lit(1), F.size(characters) - 1),
-        F.slice(characters, F.lit(2), F.size(characters)),
-        lambda a, b: F.concat(a, b),
-    )
+def _pair_keys(symbols: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all words in a row, where each word ends, and the pair that begins at each code point.
+
+    A pair is one number, in the order of its two characters; -1 stands at the last character of a word.
+    """
+    codes = np.frombuffer("".join(symbols.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int64)
+    ends = np.cumsum(pc.utf8_length(symbols).to_numpy(), dtype=np.int64)
+    pairs = np.full(len(codes), -1)
+    pairs[:-1] = codes[:-1] << CHARACTER_BITS | codes[1:]
+    pairs[ends - 1] = -1
+    return codes, ends, pairs
+
+
+def _pair_text(key: int) -> str:
+    return chr(key >> CHARACTER_BITS) + chr(key & (1 << CHARACTER_BITS) - 1)
+
+
+def _pair_key(pair: str) -> int:
+    return ord(pair[0]) << CHARACTER_BITS | ord(pair[1])
+
+
+def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of ``n`` over each."""
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    starts = np.flatnonzero(np.diff(every, prepend=-1))
+    return every[starts], np.add.reduceat(np.concatenate(n)[order], starts) if len(starts) else every[starts]
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keys, sums, held = [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, ends, pairs = _pair_keys(batch.column(0))
+        n = np.repeat(batch.column(1).to_numpy(), np.diff(ends, prepend=0))
+        there = pairs >= 0
+        for held_list, part in zip((keys, sums), _summed([pairs[there]], [n[there]])):
+            held_list.append(part)
+        held += len(keys[-1])
+        if held > HELD_PAIRS:
+            distinct, totals = _summed(keys, sums)
+            keys, sums, held = [distinct], [totals], len(distinct)
+            if 2 * held > HELD_PAIRS:
+                yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(totals)], ["pair", "n"])
+                keys, sums, held = [], [], 0
+    if keys:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(keys, sums)], ["pair", "n"])
 
 
 def _top_pairs(words: DataFrame, n: int) -> list[tuple[str, int]]:
-    totals = (
-        words.select(F.explode(_pairs(F.col("symbols"))).alias("pair"), "n")
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-    )
-    return [(row.pair, row.n) for row in totals.orderBy(F.desc("n"), "pair").limit(n).collect()]
+    totals = words.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = totals.orderBy(F.desc("n"), "pair").limit(n).collect()
+    return [(_pair_text(row.pair), row.n) for row in rows]
+
+
+def _cut(symbols: pa.Array, known: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The pieces of all words in a row, the characters in each, and the first piece of each word.
+
+    A piece ends where no pair of ``known``, which is sorted, leads on.
+    """
+    codes, ends, pairs = _pair_keys(symbols)
+    held = known[np.minimum(np.searchsorted(known, pairs), len(known) - 1)] == pairs
+    starts = np.flatnonzero(np.concatenate(([True], ~held[:-1])))
+    widths = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+    offsets = np.concatenate(([0], np.cumsum(widths)))[np.append(starts, len(codes))]
+    data = codes.astype(np.uint32).tobytes().decode("utf-32-le").encode("utf-8")
+    pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+    firsts = np.searchsorted(starts, np.concatenate(([0], ends[:-1])))
+    return pieces, np.diff(starts, append=len(codes)), firsts
 
 
 def _pieces(words: DataFrame, pairs: list[str]) -> list[tuple[str, int]] | None:
     """Distinct pieces held together by ``pairs``, or None if over the bounds."""
-    # As SQL text, since a list of that many literal columns takes longer to build than
-    # to use. Token characters are no quotes.
-    known = ", ".join(f"'{pair}'" for pair in pairs)
-    cut = F.expr(
-        "array_join(zip_with(split(symbols, ''), slice(split(symbols, ''), 2, length(symbols)), "
-        f"(a, b) -> if(concat(a, b) IN ({known}), a, concat(a, ' '))), '')"
-    )
+    known = np.array(sorted(map(_pair_key, pairs)))
+
+    def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                pieces, sizes, firsts = _cut(batch.column(0), known)
+                n = np.repeat(batch.column(1).to_numpy(), np.diff(firsts, append=len(pieces)))
+                long = pa.table({"piece": pieces, "n": pa.array(n)}).filter(pa.array(sizes > 1))
+                sums = long.group_by("piece", use_threads=False).aggregate([("n", "sum")])
+                yield from sums.rename_columns(["piece", "n"]).combine_chunks().to_batches()
+
     pieces = (
-        words.select(F.explode(F.split(cut, " ")).alias("piece"), "n")
-        .filter(F.length("piece") > 1)
+        words.mapInArrow(cut_batches, "piece string, n long")
         .groupBy("piece")
         .agg(F.sum("n").alias("n"))
         .withColumn("piece", F.when(F.length("piece") <= MAX_PIECE_LENGTH, F.col("piece")))
@@ -218,24 +280,35 @@ def _pieces(words: DataFrame, pairs: list[str]) -> list[tuple[str, int]] | None:
     return [(row.piece, row.n) for row in rows]
 
 
-def _pick_merges(
-    words: DataFrame, tokens: _Tokens, vocab_size: int, min_frequency: int, width: int
-) -> tuple[list[tuple[str, str]], int, int]:
-    """The next merges as ``(pair, character of the merged token)``, the width used and its pieces."""
+class _Round(NamedTuple):
+    """Merges as ``(pair, character of the merged token)``, and what they make of the words.
+
+    ``pairs`` hold the pieces together and ``changed`` says what becomes of a piece.
+    """
+
+    picked: list[tuple[str, str]]
+    pairs: list[str]
+    changed: dict[str, str]
+    n_pieces: int
+
+
+def _pick_merges(words: DataFrame, tokens: _Tokens, vocab_size: int, min_frequency: int, width: int) -> _Round:
+    """The next merges."""
     top = _top_pairs(words, width + 1)
     if not top or top[0][1] < max(min_frequency, 1):
-        return [], width, 0
+        return _Round([], [], {}, 0)
     while True:
         pairs = [pair for pair, _ in top[:width]]
         if len(pairs) == 1:
             pair = pairs[0]
             merged, _ = tokens.add(tokens.token[pair[0]] + tokens.token[pair[1]])
-            return [(pair, merged)], width, 1
+            return _Round([(pair, merged)], pairs, {}, 1)
         pieces = _pieces(words, pairs)
         if pieces is not None:
             bound = top[width] if len(top) > width else None
-            picked = _replay(pieces, tokens, vocab_size, min_frequency, bound)
-            return picked, width, len(pieces)
+            picked, texts = _replay(pieces, tokens, vocab_size, min_frequency, bound)
+            changed = {old: new for (old, _), new in zip(pieces, texts) if old != new}
+            return _Round(picked, pairs, changed, len(pieces))
         width = len(pairs) // 2
 
 
@@ -245,8 +318,8 @@ def _replay(
     vocab_size: int,
     min_frequency: int,
     bound: tuple[str, int] | None,
-) -> list[tuple[str, str]]:
-    """Merge the best pair of the pieces while it comes before ``bound``."""
+) -> tuple[list[tuple[str, str]], list[str]]:
+    """Merge the best pair of the pieces while it comes before ``bound``: the merges, and what is left of the pieces."""
     texts = [text for text, _ in pieces]
     totals: Counter[str] = Counter()
     holders: defaultdict[str, set[int]] = defaultdict(set)
@@ -269,8 +342,6 @@ def _replay(
             break
         merged, new = tokens.add(name)
         picked.append((pair, merged))
-        if not new:
-            break
         changed = set()
         for i in holders.pop(pair):
             before, weight = texts[i], pieces[i][1]
@@ -282,25 +353,33 @@ def _replay(
                 totals[a + b] += weight
                 holders[a + b].add(i)
                 changed.add(a + b)
+        if not new:
+            break
         for other in changed:
             if totals[other] > 0:
                 heapq.heappush(queue, (-totals[other], other))
-    return picked
+    return picked, texts
 
 
-def _rewrite(words: DataFrame, picked: list[tuple[str, str]]) -> DataFrame:
-    """Apply the merges to every word, in Arrow batches.
+def _rewrite(words: DataFrame, found: _Round) -> DataFrame:
+    """Apply the merges of a round to every word, in Arrow batches.
 
-    No two of them make the same token, so merging the lowest ranked pair of a word
-    first gives what applying one merge after the other would give.
+    No merge reaches over the end of a piece, so a word is what its pieces become.
     """
-    ranks = {(pair[0], pair[1]): (rank, merged) for rank, (pair, merged) in enumerate(picked)}
+    if not found.changed:
+        (pair, merged), = found.picked
+        return words.withColumn("symbols", F.replace("symbols", F.lit(pair), F.lit(merged)))
+    known = np.array(sorted(map(_pair_key, found.pairs)))
+    old, new = pa.array(found.changed.keys(), pa.string()), pa.array(found.changed.values(), pa.string())
 
     def rewrite_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            symbols = ["".join(merge_symbols(s, ranks)) for s in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(symbols, pa.string()), batch.column(1)], ["symbols", "n"]
-            )
+            if batch.num_rows:
+                pieces, _, firsts = _cut(batch.column(0), known)
+                at = pc.index_in(pieces, value_set=old)
+                pieces = pa.concat_arrays([pc.coalesce(new.take(at), pieces)])
+                bounds = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset :][np.append(firsts, len(pieces))]
+                symbols = pa.StringArray.from_buffers(len(firsts), pa.py_buffer(bounds), pieces.buffers()[2])
+                yield pa.RecordBatch.from_arrays([symbols, batch.column(1)], ["symbols", "n"])
 
     return words.mapInArrow(rewrite_batches, words.schema)
