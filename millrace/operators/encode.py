@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.merge import merge_symbols
+from millrace.functions.merge import Merges, merge_symbols
 from millrace.functions.text import (
     BYTE_SYMBOLS,
     byte_symbols,
@@ -22,7 +22,11 @@ from millrace.operators.bpe import MAX_VOCABULARY
 
 # A vocabulary travels to the tasks whole; training can make none with more tokens.
 MAX_SHARED_VOCABULARY = MAX_VOCABULARY
-MAX_REMEMBERED_WORDS = 500_000
+MAX_REMEMBERED_WORDS = 100_000
+# Words, or ids, that a task looks at together; lists that have more are looked at one by one.
+TOGETHER = 100_000
+# Bytes of a word up to which words are merged many at once.
+SHORT_WORD = 32
 # Characters in which the first words of a text are looked for, to each.
 CHARACTERS_PER_WORD = 8
 
@@ -51,7 +55,7 @@ def encode(
     texts = [text] if isinstance(text, str) else list(text)
     names = ["key", "ids"] if isinstance(text, str) else ["key", *texts]
     ids, ranks, specials = _collect_vocabulary(vocab, merges)
-    shared = df.sparkSession.sparkContext.broadcast((ids, ranks, frozenset(specials)))
+    shared = df.sparkSession.sparkContext.broadcast((ids, ranks, frozenset(specials), Merges(ids, ranks, BYTE_SYMBOLS)))
     words = df.select(F.col(key).alias("key"), *[required(F.col(t), t).alias(n) for t, n in zip(texts, names[1:])])
     if max_length is None:
         words = words.select("key", *[split_words_and_specials(F.col(n), specials, prefix_space).alias(n) for n in names[1:]])
@@ -63,15 +67,17 @@ def encode(
     )
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, ranks, specials = shared.value
-        known: dict[str, list[int]] = {}
+        ids, ranks, specials, merges = shared.value
+        known: dict[str, bytes] = {}
         for batch in batches:
-            columns = [batch.column(0)]
-            for words in batch.columns[1:]:
-                if len(known) > MAX_REMEMBERED_WORDS:
-                    known.clear()
-                columns.append(_encode_lists(words, known, ids, ranks, specials, max_length))
-            yield pa.RecordBatch.from_arrays(columns, names)
+            for start, end in _parts(batch.columns[1:]):
+                part = batch.slice(start, end - start)
+                columns = [part.column(0)]
+                for words in part.columns[1:]:
+                    if len(known) > MAX_REMEMBERED_WORDS:
+                        known.clear()
+                    columns.append(_encode_lists(words, known, ids, ranks, specials, merges, max_length))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return words.mapInArrow(encode_batches, schema)
 
@@ -110,7 +116,7 @@ def decode(
     """``df`` with the text of its id lists; ids outside the vocabulary read as nothing.
 
     Tasks have the vocabulary as one buffer of bytes with the place of every token in
-    it, and gather the bytes of a whole batch at once. Nothing is shuffled.
+    it, and gather the bytes of many lists at once. Nothing is shuffled.
     """
     table = vocab.select("id", "token", "special")
     if skip_special:
@@ -122,11 +128,20 @@ def decode(
 
     @F.arrow_udf("binary")
     def gathered(lists: pa.Array) -> pa.Array:
-        return _gather_bytes(lists, *shared.value)
+        parts = [_gather_bytes(lists.slice(start, end - start), *shared.value) for start, end in _parts([lists])]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return df.withColumn(output, F.make_valid_utf8(gathered(F.col(ids)).cast("string")))
 
 
+def _parts(columns: Sequence[pa.ListArray]) -> Iterator[tuple[int, int]]:
+    """The rows of parts of a batch, with about TOGETHER entries in the lists of each."""
+    sizes = sum(c.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    part = np.cumsum(sizes) // TOGETHER
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    return zip(starts.tolist(), [*starts[1:].tolist(), len(part)])
+
+
 def _gather_bytes(lists: pa.ListArray, known: np.ndarray, ends: np.ndarray, data: bytes) -> pa.Array:
     """The bytes of every list's tokens; a null list stays null."""
     flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
@@ -204,19 +219,25 @@ def _bytes_of(token: str) -> bytes:
     return token.encode("utf-8")
 
 
-def _encode_lists(lists: pa.ListArray, known, ids, ranks, specials, max_length: int | None) -> pa.ListArray:
+def _encode_lists(lists: pa.ListArray, known, ids, ranks, specials, merges: Merges, max_length: int | None) -> pa.ListArray:
     """Encode the words of every list, looking each distinct word up once."""
     words = lists.flatten().dictionary_encode()
-    encoded = []
-    for word in words.dictionary.to_pylist():
+    distinct = words.dictionary.to_pylist()
+    short = {}
+    for word in distinct:
         if word not in known:
-            known[word] = (
-                [ids[word]] if word in specials else _encode_word(word, ids, ranks)
-            )
-        encoded.append(known[word])
-    sizes = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
+            spelled = word.encode("utf-8")
+            if word in specials:
+                known[word] = np.array([ids[word]], np.int32).tobytes()
+            elif len(spelled) <= SHORT_WORD:
+                short[word] = spelled
+            else:
+                known[word] = np.array(_encode_word(word, ids, ranks), np.int32).tobytes()
+    known.update(zip(short, merges.encode(list(short.values()))))
+    encoded = [known[word] for word in distinct]
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    values = np.fromiter((i for e in encoded for i in e), np.int32, int(starts[-1]))
+    values = np.frombuffer(b"".join(encoded), np.int32)
     place = words.indices.to_numpy(zero_copy_only=False)
     counts = sizes[place]
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False)

@@ -1,6 +1,11 @@
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import library_tokenizer
 
+from millrace.functions.merge import Merges
 from millrace.functions.text import BYTE_SYMBOLS
 from millrace.operators import encode as module
 from millrace.operators.encode import check_ids, decode, encode, resolve_specials
@@ -117,3 +122,37 @@ def test_special_fallbacks(spark):
     assert [tuple(r) for r in resolve_specials(table, pad_only=True).collect()] == [
         ("b", "e", "p", "u"), (None, "e", "e", "u"), (None, None, None, None), ("b", None, "p", None),
     ]
+
+
+def test_many_words_at_once_merge_like_one_by_one():
+    """Odd merges too: repeated letters, ranks that tie, a pair ranked before the token that it needs, bytes not in the vocabulary."""
+    draw = random.Random(3)
+    letters = "abcd"
+    ids = {letter: k for k, letter in enumerate(letters)}
+    pairs, tokens = {}, list(letters)
+    for rank in range(40):
+        left, right = draw.choice(tokens), draw.choice(tokens)
+        pairs.setdefault((left, right), (draw.randrange(-20, 20), left + right))
+        ids.setdefault(left + right, 100 + rank)
+        tokens.append(left + right)
+    words = ["".join(draw.choices("abcdx", k=draw.randrange(20))) for _ in range(3000)] + ["a" * 30, "", "xx"]
+    for ranks in (pairs, {}):
+        got = Merges(ids, ranks, BYTE_SYMBOLS).encode([w.encode() for w in words])
+        assert [np.frombuffer(x, np.int32).tolist() for x in got] == [module._encode_word(w, ids, ranks) for w in words]
+    assert Merges(ids, pairs, BYTE_SYMBOLS).encode([]) == []
+
+
+@pytest.mark.parametrize("together", [1, 5, 10**9])
+def test_batches_are_looked_at_in_parts(spark, learned, monkeypatch, together):
+    """Parts of few words and ids give the same lists and texts as whole batches."""
+    monkeypatch.setattr(module, "TOGETHER", together)
+    texts = ["hello world", "", "hello", "w", "hello " * 40, ""]
+    library = library_tokenizer(CORPUS, 300)
+    assert ids_of(spark, learned, texts) == [library.encode(t).ids for t in texts]
+    lists = pa.array([[16, 11], None, [], [10, 8, 16], [16] * 9, None], pa.list_(pa.int32()))
+    parts = list(module._parts([lists, lists]))
+    assert [start for start, _ in parts] == [0, *[end for _, end in parts][:-1]] and parts[-1][1] == len(lists)
+    assert len(parts) > 2 if together < 10 else len(parts) == 1
+    table = spark.createDataFrame([(k, x) for k, x in enumerate(lists.to_pylist())], "key INT, ids ARRAY<INT>").coalesce(1)
+    got = [r.text for r in decode(table, "ids", learned.vocab).orderBy("key").collect()]
+    assert got == [None if x is None else library.decode(x) for x in lists.to_pylist()]
