@@ -46,7 +46,7 @@ FIRST_CHARACTER = 0x100
 MAX_VOCABULARY = 0x110000 - 0x800 - FIRST_CHARACTER
 
 # Bounds on what one round may bring to the driver.
-MAX_PIECES = 30_000
+MAX_PIECES = 120_000
 MAX_PIECE_LENGTH = 2_000
 # Bits of a character, and the pairs a task adds up before it hands them on.
 CHARACTER_BITS = 21

@@ -1,5 +1,8 @@
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import library_merges, library_tokenizer
 
@@ -96,3 +99,24 @@ def test_token_characters_keep_id_order():
 def test_size_is_checked(spark):
     with pytest.raises(ValueError):
         train(spark, ["a"], bpe.MAX_VOCABULARY + 1)
+
+
+def test_rounds_count_and_cut_in_arrays(monkeypatch):
+    """A task hands on each pair once however its words come in batches, and pieces make up their words."""
+    words, n = ["aab", "éa中b", "aaaa", "zé", "𝒳a𝒳a"], [2, 3, 5, 7, 11]
+    batches = [pa.RecordBatch.from_arrays([pa.array(words[i : i + 2]), pa.array(n[i : i + 2])], ["symbols", "n"]) for i in (0, 2, 4)]
+    expected = Counter()
+    for word, times in zip(words, n):
+        for pair in zip(word, word[1:]):
+            expected["".join(pair)] += times
+    for held in (1, 10**6):
+        monkeypatch.setattr(bpe, "HELD_PAIRS", held)
+        rows = [(bpe._pair_text(r["pair"]), r["n"]) for b in bpe._count_pairs(iter([*batches, batches[0].slice(0, 0)])) for r in b.to_pylist()]
+        got = Counter()
+        for pair, times in rows:
+            got[pair] += times
+        assert got == expected and (held == 1 or len(rows) == len(expected))
+    known = np.array(sorted(map(bpe._pair_key, ["aa", "éa", "a𝒳"])))
+    pieces, sizes, firsts = bpe._cut(pa.array(words), known)
+    assert pieces.to_pylist() == ["aa", "b", "éa", "中", "b", "aaaa", "z", "é", "𝒳", "a𝒳", "a"]
+    assert sizes.tolist() == [len(p) for p in pieces.to_pylist()] and firsts.tolist() == [0, 2, 5, 6, 8]
