@@ -24,6 +24,9 @@ PENALTY = 1.0
 #: Fewer documents than this tell nothing about a feature; its weight stays zero.
 LEAST_SEEN = 8
 
+#: Words whose buckets a task remembers before it starts anew; workers keep them from one stage to the next.
+REMEMBERED_WORDS = 50_000
+
 _SPACES = b" \t\n\x0b\x0c\r"
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 
@@ -39,7 +42,7 @@ _WORDS = _Buckets()
 
 def buckets_of(words: list[bytes]) -> np.ndarray:
     """The distinct buckets of a document's words."""
-    if len(_WORDS) > 400_000:
+    if len(_WORDS) > REMEMBERED_WORDS:
         _WORDS.clear()
     return np.unique(np.fromiter(map(_WORDS.__getitem__, words), np.int64, len(words)))
 

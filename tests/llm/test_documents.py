@@ -9,11 +9,13 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.llm import text_classifier
 from millrace.llm.near_duplicates import Banding, near_duplicates
 from millrace.llm.packing import packed, sum_of_squares
 from millrace.llm.pii import found_spans, personal_data, redacted
 from millrace.llm.quality import gram_counts, kneser_ney, quality_rules
 from millrace.llm.substrings import without_repeats
+from millrace.llm.text_classifier import buckets_of
 from tests.llm.conftest import prose
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -294,3 +296,10 @@ def test_a_third_of_junk_is_rejected(spark):
     rows = [(k, prose(k, 90), "en") for k in range(100)] + [(100 + k, junk(k), "en") for k in range(40)]
     kept = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert sum(kept[k] for k in range(100)) >= 95 and not any(kept[k] for k in range(100, 140))
+
+
+def test_words_of_the_classifier_are_forgotten_in_time():
+    """Workers keep the table of words from stage to stage, so it stays small."""
+    for k in range(60):
+        buckets_of([b"%d-%d" % (k, i) for i in range(5_000)])
+    assert len(text_classifier._WORDS) <= 60_000
