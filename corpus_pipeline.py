@@ -2,9 +2,10 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read
 again as the next one's documents; all but the last return the columns of documents.
-A stage gives every row a number of its own and decides by it, so rows with a null or a
-repeated doc_id are judged each by itself, and one row of each group of near duplicates
-stays whatever their ids are. Further columns of the documents are dropped unread.
+Rows with a null or a repeated doc_id are judged each by itself: quality and mixing carry
+a row's columns through the operator. Near duplicates give every row a number of its own
+and decide by it, so one row of each group stays whatever their ids are. Further columns
+of the documents are dropped unread.
 """
 
 from __future__ import annotations
@@ -27,27 +28,18 @@ TARGETS = {"clean": 0.97, "junk": 0.03, "toxic": 0.0}
 VOLUME = 1.1
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with a number of their own for each row, written."""
-    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
-
-
-def _nodes(keyed: DataFrame, *columns: str) -> DataFrame:
-    """The columns that an operator reads, with the row for the document's id."""
-    return keyed.select(F.col("row").alias("doc_id"), *columns)
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the rules and their language's band of perplexity."""
-    keyed = _keyed(docs)
-    kept = quality_rules(_nodes(keyed, "lang", "text")).filter("kept").select(F.col("doc_id").alias("row"))
-    return keyed.join(kept, "row", "left_semi").select(COLUMNS)
+    read = docs.select(*COLUMNS, F.col("lang").alias("own_lang"))
+    judged = quality_rules(read, carried=["text", "own_lang", "source", "n_chars"])
+    return judged.filter("kept").withColumn("lang", F.col("own_lang")).select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that with the least doc_id: five words a shingle, similarity of 0.8 or more."""
-    keyed = _keyed(docs)
-    found = near_duplicates(_nodes(keyed, "text"), Banding(words=5, percent=80)).select(F.col("doc_id").alias("row"), "component_id")
+    keyed = written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
+    nodes = keyed.select(F.col("row").alias("doc_id"), "text")
+    found = near_duplicates(nodes, Banding(words=5, percent=80)).select(F.col("doc_id").alias("row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     kept = keyed.select("row", "doc_id").join(found, "row").groupBy("component_id").agg(first.alias("first")).select("first.row")
     return keyed.join(kept, "row", "left_semi").select(COLUMNS)
@@ -65,10 +57,9 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     No rate is above one, so a document stays at most once. Where a rate is below one,
     a hash of the doc_id and the text decides; rows equal in both share their fate.
     """
-    keyed = _keyed(docs)
-    rates = mixed_rates(keyed, table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS, VOLUME, highest=1.0, carried=["row"])
+    rates = mixed_rates(docs, table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS, VOLUME, highest=1.0, carried=COLUMNS[1:])
     drawn = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit("")), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
-    return keyed.join(rates.select("row", "rate"), "row").filter(drawn < F.col("rate")).select(COLUMNS)
+    return rates.filter(drawn < F.col("rate")).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

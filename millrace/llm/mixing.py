@@ -86,15 +86,14 @@ class Domains:
         return np.tile(np.eye(len(self.names))[self.only] if self.only is not None else np.full(len(self.names), 1 / len(self.names)), (len(design), 1))
 
 
-def _classify(domains):
+def _classify(domains, carried: Sequence[str]):
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 design, tokens = design_of(texts)
                 p = domains.value.posteriors(design)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), p.shape[1]).cast(pa.list_(pa.float64()))
-                others = [k for k in part.schema.names if k != "text"]
-                yield pa.RecordBatch.from_arrays([*map(part.column, others), pa.array(tokens), lists], [*others, "n_tokens", "posterior"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, ["doc_id", *carried]), pa.array(tokens), lists], ["doc_id", *carried, "n_tokens", "posterior"])
 
     return classify
 
@@ -104,9 +103,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, label: Column, names: list[st
     known = labelled_documents(docs, label_sample(docs, labels, label, sample))
     domains = Domains(names, features(known).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(domains)
-    read = docs.select("doc_id", *carried, "text")
+    read = docs.select(*dict.fromkeys(["doc_id", *carried, "text"]))
     found = [StructField("n_tokens", LongType()), StructField("posterior", ArrayType(DoubleType()))]
-    return read.mapInArrow(_classify(shared), StructType([*read.drop("text").schema.fields, *found]))
+    return read.mapInArrow(_classify(shared, carried), StructType([*(read.schema[k] for k in ["doc_id", *carried]), *found]))
 
 
 # --- rates ----------------------------------------------------------------------

@@ -128,11 +128,25 @@ def _list_sets(size: int):
     return list_sets
 
 
+def _shared_halves(signed: DataFrame) -> DataFrame:
+    """``id, first, second``: of each class representative, the half keys that others have too, as ``at, half`` of a side.
+
+    Only those can make a table key that two documents share, and most documents have
+    none, so far fewer table keys than ``m * m`` a document are made.
+    """
+    representative = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("id1", "id2").agg(F.min(F.struct("doc_id", "first", "second")).alias("r"))
+    first = F.transform("r.first", lambda x, i: F.struct(F.lit(True).alias("is_first"), i.alias("at"), x.alias("half")))
+    second = F.transform("r.second", lambda x, i: F.struct(F.lit(False).alias("is_first"), i.alias("at"), x.alias("half")))
+    halves = representative.select(F.col("r.doc_id").alias("id"), F.inline(F.concat(first, second)))
+    shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
+    of = F.struct("at", "half")
+    return halves.join(shared, "half", "left_semi").groupBy("id").agg(F.collect_list(F.when(F.col("is_first"), of)).alias("first"), F.collect_list(F.when(~F.col("is_first"), of)).alias("second"))
+
+
 def _collisions(signed: DataFrame) -> DataFrame:
     """``key, id, lead, n`` of every table bucket with two members or more."""
-    representative = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("id1", "id2").agg(F.min(F.struct("doc_id", "first", "second")).alias("r"))
-    keys = F.flatten(F.transform("r.first", lambda x, i: F.transform("r.second", lambda y, j: F.xxhash64(i, j, x, y))))
-    members = representative.select(F.col("r.doc_id").alias("id"), F.explode(keys).alias("key"))
+    keys = F.flatten(F.transform("first", lambda x: F.transform("second", lambda y: F.xxhash64(x["at"], y["at"], x["half"], y["half"]))))
+    members = _shared_halves(signed).select("id", F.explode(keys).alias("key"))
     bucket = Window.partitionBy("key")
     return members.select("key", "id", F.min("id").over(bucket).alias("lead"), F.count("*").over(bucket).alias("n")).filter("n > 1")
 

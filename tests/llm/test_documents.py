@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import text_classifier
-from millrace.llm.near_duplicates import Banding, near_duplicates
+from millrace.llm.near_duplicates import Banding, _collisions, _shared_halves, _sign, near_duplicates
 from millrace.llm.packing import packed, sum_of_squares
 from millrace.llm.pii import found_spans, personal_data, redacted
 from millrace.llm.quality import gram_counts, kneser_ney, quality_rules
@@ -126,6 +126,25 @@ def test_links_are_found_where_the_first_member_is_too_far(spark):
     assert set(expected.values()) == {0}
 
 
+def test_table_keys_are_made_of_shared_half_keys_alone(spark):
+    """Buckets are those of all table keys; a document that is like no other makes none."""
+    words = prose(3, 120).split()
+    texts = {k: " ".join([*words[:60], *[f"new{k}_{j}" for j in range(k)], *words[60:]]) for k in range(4)}
+    texts |= {k: " ".join(f"own{k}_{j}" for j in range(90)) for k in range(4, 40)} | {90: texts[2], 91: "", 92: None, None: texts[1]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    schema = "doc_id long, n_shingles long, id1 long, id2 long, first array<long>, second array<long>"
+    signed = docs.mapInArrow(_sign(Banding(words=5, percent=80)), schema)
+    assert {r.id for r in _shared_halves(signed).collect()} <= {0, 1, 2, 3}
+
+    every = F.flatten(F.transform("first", lambda x, i: F.transform("second", lambda y, j: F.xxhash64(i, j, x, y))))
+    of = defaultdict(set)
+    for r in signed.filter("n_shingles > 0 and doc_id < 90").select("doc_id", F.explode(every).alias("key")).collect():
+        of[r.key].add(r.doc_id)
+    expected = {(key, k, min(x), len(x)) for key, x in of.items() if len(x) > 1 for k in x}
+    found = [tuple(r) for r in _collisions(signed).select("key", "id", "lead", "n").collect()]
+    assert expected and sorted(found) == sorted(expected)
+
+
 def test_near_duplicate_edges(edge_documents, no_documents):
     rows = near_duplicates(edge_documents).collect()
     assert len(rows) == edge_documents.count()

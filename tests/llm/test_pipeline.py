@@ -1,10 +1,14 @@
 """The stages of the pipeline on the smallest tables."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm.common import written
 from millrace.llm.mixing import label_sample
+from millrace.session import checkpoint_dir
 from tests.llm.conftest import prose
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,3 +58,31 @@ def test_least_labels_count_however_rows_are_dealt(spark):
     labels, docs = spark.createDataFrame(rows, "doc_id long, label string"), spark.range(50).select(F.col("id").alias("doc_id"))
     for parts in (1, 7):
         assert {r.label for r in label_sample(docs, labels.repartition(parts), F.col("label"), 100).collect()} == {"clean"}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize(("name", "texts_written"), [("quality", 0), ("mixing", 1)])
+def test_decisions_are_not_joined_to_texts(spark, no_broadcast, tmp_path, name, texts_written):
+    """Texts are not shuffled, and written once at most."""
+    rows = [(k, prose(k, 80), "en", "a", 1) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(20)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("llm-*"))
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path))
+    made = [spark.read.parquet(f"file://{x}") for x in set(folder.glob("llm-*")) - before]
+    assert sum("text" in x.columns for x in made) == texts_written
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(row" not in plan
+    assert out.columns == corpus_pipeline.COLUMNS
+    own = {r.doc_id: r for r in docs.collect()}
+    kept = out.collect()
+    assert kept and all(r == own[r.doc_id] for r in kept)
