@@ -36,7 +36,7 @@ END_ID = 1
 GROUP = 131_072
 #: The share of pieces, the smallest ones, that fill gaps at the end.
 FILLERS = 0.3
-#: Encoded words that a Python worker remembers, over all tasks it runs.
+#: Encoded words that a task remembers before it starts anew.
 REMEMBERED_IDS = 700_000
 
 # Characters that the vocabulary's normaliser only lower-cases, and its word pattern for them.
@@ -84,12 +84,15 @@ class _Encoded(dict):
 
     def of(self, text: bytes) -> bytes:
         if len(self) > REMEMBERED_IDS:
-            self.clear()
-            self.parts.clear()
+            self.forget()
         return b"".join(map(self.__getitem__, text.split()))
 
+    def forget(self) -> None:
+        self.clear()
+        self.parts.clear()
 
-#: By path; a worker process keeps it from task to task.
+
+#: By path; a worker process keeps the tokenizer from task to task, but no words: other stages' tasks run in it too.
 _WORKER: dict[str, _Encoded] = {}
 
 
@@ -106,16 +109,19 @@ def _cut(path: str, length: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoded(path)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            for part, texts in slices(batch, "text"):
-                rows = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
-                    ids = words.of(text) + end
-                    for k, at in enumerate(range(0, len(ids), 4 * length)):
-                        piece = ids[at : at + 4 * length]
-                        rows.append((doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
-                columns = [pa.array(c, pa.int32() if k == 1 else pa.int64()) for k, c in enumerate(zip(*rows, strict=True))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                for part, texts in slices(batch, "text"):
+                    rows = []
+                    for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                        ids = words.of(text) + end
+                        for k, at in enumerate(range(0, len(ids), 4 * length)):
+                            piece = ids[at : at + 4 * length]
+                            rows.append((doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
+                    columns = [pa.array(c, pa.int32() if k == 1 else pa.int64()) for k, c in enumerate(zip(*rows, strict=True))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            words.forget()
 
     return cut
 

@@ -6,10 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import text_classifier
+from millrace.llm import common, packing, quality, text_classifier
 from millrace.llm.near_duplicates import Banding, _collisions, _shared_halves, _sign, near_duplicates
 from millrace.llm.packing import packed, sum_of_squares
 from millrace.llm.pii import found_spans, personal_data, redacted
@@ -322,3 +323,34 @@ def test_words_of_the_classifier_are_forgotten_in_time():
     for k in range(60):
         buckets_of([b"%d-%d" % (k, i) for i in range(5_000)])
     assert len(text_classifier._WORDS) <= 60_000
+
+
+def test_tasks_hold_few_words_and_texts_together(monkeypatch):
+    """N-grams are made of some words at a time, texts of a batch part by part, with the same counts and scores."""
+    held, taken = [], []
+    grams_of, texts_of = quality.grams_of, common.texts_of
+    monkeypatch.setattr(quality, "grams_of", lambda words, order: held.append(len(words)) or grams_of(words, order))
+    monkeypatch.setattr(common, "texts_of", lambda column: taken.append(len(column)) or texts_of(column))
+    texts = [" ".join(f"w{k * 977 + i}" for i in range(600)) for k in range(60)] + [None, "x" * 3_000_000, "w1 w1"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    counts = pa.Table.from_batches(quality._count(4)(iter([batch])))
+    assert max(held) <= 10_000 and sum(taken) == len(texts) and max(taken) < len(texts)
+    words = Counter(w for t in texts for w in (t or "").encode().split())
+    grams, lengths = grams_of(list(words), 4)
+    wanted = Counter()
+    for gram, n in zip(grams.tolist(), np.repeat(list(words.values()), lengths).tolist(), strict=True):
+        wanted[gram] += n
+    assert len(wanted) == counts.num_rows and dict(zip(counts["gram"].to_pylist(), counts["n"].to_pylist(), strict=True)) == wanted
+    held.clear()
+    model, some = kneser_ney(counts), list(words)[:25_000]
+    scores = model.score("en", some)
+    assert max(held) <= 10_000
+    assert scores.tolist() == [x for k in range(0, len(some), 700) for x in model.score("en", some[k : k + 700])]
+
+
+def test_packing_leaves_no_words_in_a_worker():
+    """Workers go on to tasks of other stages, so only the tokenizer stays."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [prose(1, 500), None]})
+    lengths = [n for b in packing._cut(TOKENIZER, 4096)(iter([batch])) for n in b.column("length").to_pylist()]
+    assert lengths[0] > 500 and lengths[1] == 1
+    assert not packing.encoded(TOKENIZER) and not packing.encoded(TOKENIZER).parts
